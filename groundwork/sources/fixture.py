@@ -315,7 +315,9 @@ def service_line_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         line_category(F.col("l_returnflag"), F.col("l_linestatus")).alias("service_category"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_linenumber").cast("double").alias("total_service_hours"),
-        F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).alias("estimated_service_value"),
+        # exact decimal arithmetic, rounded half-up to cents, then double
+        F.round(F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(6,4)")), 2)
+        .cast("double").alias("estimated_service_value"),
     )
 
 
