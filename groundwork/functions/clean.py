@@ -25,9 +25,13 @@ FLOAT_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INT_RE = r"^[+-]?[0-9]+$"
 
 
+# ASCII whitespace removed by strip_ws (the set regex \s matches).
+WS_CHARS = " \t\n\r\x0b\x0c"
+
+
 def strip_ws(c) -> Column:
-    """Remove all leading/trailing whitespace (Python str.strip)."""
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    """Remove all leading/trailing whitespace (Python str.strip), no regex."""
+    return F.btrim(as_col(c), F.lit(WS_CHARS))
 
 
 def norm(c) -> Column:

@@ -21,7 +21,7 @@ NA = clean.NA
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return clean.strip_ws(c)
 
 
 def parse_fields(text) -> Column:
@@ -35,11 +35,12 @@ def parse_fields(text) -> Column:
 
     def one(line: Column) -> Column:
         s = _strip(line)
-        ok = (s != "") & s.contains(":")
+        colon = F.instr(s, ":")
+        ok = (s != "") & (colon > 0)
         left = _strip(F.substring_index(s, ":", 1))
         num_txt = _strip(F.substring_index(left, ".", 1))
         num = F.when(ok & num_txt.rlike(clean.INT_RE), num_txt.try_cast("int"))
-        value = _strip(F.regexp_extract(s, r"(?s)^[^:]*:(.*)$", 1))
+        value = _strip(F.substr(s, colon + 1))
         return F.struct(num.alias("num"), value.alias("value"))
 
     return F.filter(F.transform(lines, one), lambda x: x["num"].isNotNull())

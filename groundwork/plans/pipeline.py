@@ -58,8 +58,9 @@ class Pipeline:
             self.corrected(), answers=fixture.category_answers(self.spark, self.sf_dir)))
 
     def with_ml(self) -> DataFrame:
-        return self._memo("with_ml", lambda: incremental.update_column(
-            self.corrected(), self.categories(), "work_order_id", ["ml_categorization"]))
+        # one pass over the corrected rows; equal to update_column(corrected, categories())
+        return self._memo("with_ml", lambda: cat.with_categories(
+            self.corrected(), answers=fixture.category_answers(self.spark, self.sf_dir)))
 
     # L4
     def staging(self) -> DataFrame:
