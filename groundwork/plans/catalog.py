@@ -138,3 +138,112 @@ def _window_queries(days: int):
 
 for _days in (30, 365):
     _window_queries(_days)
+
+
+# ---- operator-level queries -------------------------------------------------
+
+from groundwork.operators import extract, incremental, quality  # noqa: E402
+from groundwork.sources import fixture as FX  # noqa: E402
+from groundwork.sources import io as IO  # noqa: E402
+
+CUT = _dt.datetime(1999, 1, 1)
+
+
+@register("c7_fuzzy_builders")
+def c7_fuzzy_builders(spark, d):
+    c = _p(spark, d).corrected()
+    return c.select("builder_name_raw", F.col("builder_name").alias("builder_name_corrected")).distinct()
+
+
+@register("h8_service_lines")
+def h8_service_lines(spark, d):
+    return extract.service_lines(_p(spark, d).raw())
+
+
+@register("k8_pipeline_checks")
+def k8_pipeline_checks(spark, d):
+    p = _p(spark, d)
+    return quality.pipeline_checks(p.raw(), p.fact(), p.with_ml())
+
+
+def _tables(p: Pipeline) -> dict:
+    return {"stg_work_orders": p.staging(), "dim_builders": p.dim_builders(), "dim_projects": p.dim_projects(),
+            "dim_companies": p.dim_companies(), "fct_work_orders": p.fact(), "raw_work_orders": p.raw()}
+
+
+@register("k_quality_suite")
+def k_quality_suite(spark, d):
+    return quality.run_suite(_tables(_p(spark, d)), quality.DEFAULT_SUITE)
+
+
+@register("d13_table_status")
+def d13_table_status(spark, d):
+    p = _p(spark, d)
+    return quality.table_status({"raw_work_orders": p.raw(), "raw_work_orders_corrected": p.corrected(),
+                                 "raw_work_orders_with_ml": p.with_ml(), "stg_work_orders": p.staging(),
+                                 "dim_builders": p.dim_builders(), "dim_projects": p.dim_projects(),
+                                 "dim_companies": p.dim_companies(), "fct_work_orders": p.fact()})
+
+
+@register("d14_reconcile")
+def d14_reconcile(spark, d):
+    p = _p(spark, d)
+    return quality.reconcile(p.raw(), p.corrected(), p.with_ml())
+
+
+@register("d15_coverage")
+def d15_coverage(spark, d):
+    return quality.coverage(_p(spark, d).with_ml(), ["work_order_number", "description", "ml_categorization",
+                                                     "builder_name", "month", "year"])
+
+
+@register("d17_stage_profile")
+def d17_stage_profile(spark, d):
+    return quality.stage_profile(FX.stage_events(spark, d))
+
+
+@register("a14_retention")
+def a14_retention(spark, d):
+    f = _p(spark, d).fact()
+    r = IO.split_by_age(f, "extracted_at", _dt.date(2001, 7, 31), expire_days=90, cold_days=None)
+    return r.groupBy("retention").agg(F.count(F.lit(1)).alias("work_orders"))
+
+
+@register("a8_upsert_incremental")
+def a8_upsert_incremental(spark, d):
+    stg = _p(spark, d).staging().select("work_order_id", "extracted_at", "data_completeness_score",
+                                        "ml_categorization")
+    first = stg.filter(F.col("extracted_at") <= F.lit(CUT))
+    t1 = incremental.upsert(None, first, "work_order_id", "extracted_at")
+    new = incremental.newer_than(stg, t1, "extracted_at")
+    return incremental.upsert(t1, new, "work_order_id", "extracted_at")
+
+
+@register("b3_newer_than")
+def b3_newer_than(spark, d):
+    stg = _p(spark, d).staging().select("work_order_id", "extracted_at")
+    target = stg.filter(F.col("extracted_at") <= F.lit(CUT))
+    return incremental.newer_than(stg, target, "extracted_at")
+
+
+@register("e1_latest_event_per_user")
+def e1_latest_event_per_user(spark, d):
+    ev = FX.read(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    return incremental.latest(ev, "user_id", [F.col("ts").desc(), F.col("event_id").desc()])
+
+
+@register("f4_latest_sample")
+def f4_latest_sample(spark, d):
+    return R.latest(_p(spark, d).with_ml(), n=3)
+
+
+@register("f6_categorized_sample")
+def f6_categorized_sample(spark, d):
+    return R.sample(_p(spark, d).with_ml().select("work_order_id", "company_name_standardized",
+                                                  "ml_categorization"), "ml_categorization", n=3)
+
+
+@register("c9_keyword_categories")
+def c9_keyword_categories(spark, d):
+    from groundwork.operators import categorize as cat
+    return cat.categorize(_p(spark, d).corrected(), answers=None)

@@ -501,3 +501,153 @@ SELECT count(DISTINCT work_order_id) AS total_orders_30d,
   count(DISTINCT builder_key) AS active_builders_30d, count(DISTINCT project_key) AS active_projects_30d
 FROM fsl WHERE {win}""")
     return out
+
+
+# ------------------------------------------------------- operator queries --
+
+def _suite_sql() -> str:
+    from groundwork.operators import quality as Q
+    src = {"stg_work_orders": "stg", "dim_builders": "dim_builders", "dim_projects": "dim_projects",
+           "dim_companies": "dim_companies", "fct_work_orders": "fct", "raw_work_orders": "raw"}
+    parts = []
+    for model, checks in Q.DEFAULT_SUITE.items():
+        t = src[model]
+        for c in checks:
+            if c.kind == "not_null":
+                cnt = f"(SELECT count(*) FROM {t} WHERE {c.column} IS NULL)"
+            elif c.kind == "accepted_values":
+                cnt = f"(SELECT count(*) FROM {t} WHERE {c.column} IS NOT NULL AND {c.column} NOT IN {inlist(c.values)})"
+            elif c.kind == "accepted_range":
+                cnt = (f"(SELECT count(*) FROM {t} WHERE {c.column} IS NOT NULL AND "
+                       f"({c.column} < {c.min_value} OR {c.column} > {c.max_value}))")
+            elif c.kind == "expression":
+                cnt = f"(SELECT count(*) FROM {t} WHERE NOT coalesce({c.expression}, false))"
+            elif c.kind == "unique":
+                cnt = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {t} WHERE {c.column} IS NOT NULL "
+                       f"GROUP BY 1 HAVING count(*) > 1))")
+            else:
+                p = src[c.to]
+                cnt = (f"(SELECT count(*) FROM {t} x WHERE x.{c.column} IS NOT NULL AND NOT EXISTS "
+                       f"(SELECT 1 FROM {p} y WHERE y.{c.column} = x.{c.column}))")
+            parts.append(f"SELECT {q(model)} AS model, {q(c.name)} AS check_name, {q(c.severity)} AS severity, "
+                         f"CAST({cnt} AS BIGINT) AS failures")
+    return "SELECT *, failures = 0 AS passed FROM (" + "\nUNION ALL\n".join(parts) + ")"
+
+
+def _h8_sql() -> str:
+    parts = []
+    for k in range(1, 5):
+        a, b = 2 * k - 1, 2 * k
+        ok1 = f"(service{k} IS NOT NULL AND service{k} NOT IN ('', 'N/A'))"
+        ok2 = f"({ok1} AND d{b} IS NOT NULL AND d{b} NOT IN ('', 'N/A'))"
+        for line, cond in ((a, ok1), (b, ok2)):
+            parts.append(f"SELECT work_order_id, {line} AS line_no, service{k} AS service_type, d{line} AS date, "
+                         f"q{line} AS quantity, h{line} AS hours FROM raw WHERE {cond}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _keyword_sql() -> str:
+    rows = []
+    for i, c in enumerate(V.STRICT_CATEGORIES):
+        rows.append(f"('strict', {q(c)}, 1, {i})")
+    i = 0
+    for lv in sorted(V.TIERED_LEVELS):
+        for c in V.TIERED_LEVELS[lv]:
+            rows.append(f"('tiered', {q(c)}, {lv}, {i})")
+            i += 1
+    vocab = "vocab(mode, name, level, idx) AS (VALUES " + ", ".join(rows) + ")"
+    return vocab + f""",
+kw_in AS (
+  SELECT work_order_id, company_name_standardized AS company, description,
+    CASE WHEN company_name_standardized = 'Aeon Landscaping' THEN 'strict'
+         WHEN company_name_standardized = 'AE3 Excavating' THEN 'tiered' END AS mode
+  FROM corrected WHERE description IS NOT NULL),
+kw_hits AS (
+  SELECT k.work_order_id, k.mode, v.name, v.level, v.idx,
+    row_number() OVER (PARTITION BY k.work_order_id ORDER BY v.level, length(v.name) DESC, v.idx) AS rk
+  FROM kw_in k JOIN vocab v ON v.mode = k.mode AND contains(lower(k.description), lower(v.name))
+    AND v.name <> 'Miscellaneous'),
+kw_txt AS (
+  SELECT work_order_id,
+    string_agg('Service: ' || name || {NL} || 'Blocks/Lots/Units: Not specified', {NL} || {NL} ORDER BY idx) AS txt
+  FROM kw_hits WHERE mode = 'strict' OR rk = 1 GROUP BY work_order_id)
+SELECT k.work_order_id,
+  CASE WHEN k.mode IS NULL
+       THEN 'Service: Miscellaneous (No categorizer for ' || coalesce(k.company, 'None') || ')' || {NL}
+            || 'Blocks/Lots/Units: Not specified'
+       ELSE coalesce(t.txt, 'Service: Miscellaneous' || {NL} || 'Blocks/Lots/Units: Not specified') END
+    AS ml_categorization
+FROM kw_in k LEFT JOIN kw_txt t USING (work_order_id)"""
+
+
+def more_queries() -> dict[str, str]:
+    out: dict[str, str] = {}
+    out["c7_fuzzy_builders"] = with_ctes(
+        "SELECT DISTINCT builder_name_raw, builder_name AS builder_name_corrected FROM corrected")
+    out["h8_service_lines"] = with_ctes(_h8_sql())
+    out["k8_pipeline_checks"] = with_ctes("""
+SELECT 'no_null_work_order_numbers' AS check_name, CAST(count(*) FILTER (WHERE work_order_number IS NULL) AS DOUBLE) AS value,
+  count(*) FILTER (WHERE work_order_number IS NULL) = 0 AS passed FROM raw
+UNION ALL
+SELECT 'data_completeness_above_80_percent', avg(data_completeness_score), coalesce(avg(data_completeness_score) >= 0.8, false) FROM fct
+UNION ALL
+SELECT 'all_records_have_ml_categorization', CAST(count(*) FILTER (WHERE ml_categorization IS NULL) AS DOUBLE),
+  count(*) FILTER (WHERE ml_categorization IS NULL) = 0 FROM with_ml""")
+    out["k_quality_suite"] = with_ctes(_suite_sql())
+    tbls = [("raw_work_orders", "raw"), ("raw_work_orders_corrected", "corrected"),
+            ("raw_work_orders_with_ml", "with_ml"), ("stg_work_orders", "stg"), ("dim_builders", "dim_builders"),
+            ("dim_projects", "dim_projects"), ("dim_companies", "dim_companies"), ("fct_work_orders", "fct")]
+    out["d13_table_status"] = with_ctes("SELECT *, CASE WHEN row_count IS NULL THEN 'MISSING' WHEN row_count = 0 "
+                                        "THEN 'EMPTY' ELSE 'LIVE' END AS status FROM (" + " UNION ALL ".join(
+                                            f"SELECT {q(n)} AS table_name, count(*) AS row_count FROM {t}"
+                                            for n, t in tbls) + ")")
+    out["d14_reconcile"] = with_ctes("""
+SELECT r.raw_count, c.corrected_count, m.categorized_count,
+  r.raw_count = c.corrected_count AND c.corrected_count = m.categorized_count AND r.raw_count > 0 AS counts_match
+FROM (SELECT count(*) AS raw_count FROM raw) r, (SELECT count(*) AS corrected_count FROM corrected) c,
+     (SELECT count(*) AS categorized_count FROM with_ml) m""")
+    cov = ["work_order_number", "description", "ml_categorization", "builder_name", "month", "year"]
+    out["d15_coverage"] = with_ctes(" UNION ALL ".join(
+        f"SELECT {q(c)} AS column_name, count(*) AS total_rows, count({c}) AS non_null_rows, "
+        f"round(count({c}) / NULLIF(count(*), 0), 6) AS coverage FROM with_ml" for c in cov))
+    from groundwork.operators.quality import DURATION_BUCKETS
+    bucket = "CASE " + " ".join(f"WHEN value <= {b} THEN {i}" for i, b in enumerate(DURATION_BUCKETS)) + \
+        f" ELSE {len(DURATION_BUCKETS)} END"
+    hist = ", ".join(f"count(*) FILTER (WHERE {bucket} = {i}) AS le_{i}" for i in range(len(DURATION_BUCKETS) + 1))
+    out["d17_stage_profile"] = f"""
+SELECT event_type AS stage, count(*) AS events,
+  round(avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END), 6) AS success_share,
+  round(avg(value), 6) AS avg_duration,
+  round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95,
+  round(quantile_cont(value, 0.99), 6) AS p99, {hist}
+FROM events GROUP BY 1"""
+    out["a14_retention"] = with_ctes(f"""
+SELECT CASE WHEN date_diff('day', CAST(extracted_at AS DATE), {AS_OF}) > 90 THEN 'expired' ELSE 'hot' END AS retention,
+  count(*) AS work_orders
+FROM fct GROUP BY 1""")
+    out["a8_upsert_incremental"] = with_ctes(
+        "SELECT work_order_id, extracted_at, data_completeness_score, ml_categorization FROM stg")
+    out["b3_newer_than"] = with_ctes("""
+SELECT work_order_id, extracted_at FROM stg
+WHERE extracted_at > (SELECT max(extracted_at) FROM stg WHERE extracted_at <= TIMESTAMP '1999-01-01 00:00:00')""")
+    out["e1_latest_event_per_user"] = """
+SELECT event_id, user_id, ts, event_type FROM (
+  SELECT event_id, user_id, ts, event_type,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
+    out["f4_latest_sample"] = with_ctes("""
+SELECT work_order_id, builder_name, project_name, extracted_at, substr(ml_categorization, 1, 50) AS category_preview
+FROM with_ml ORDER BY extracted_at DESC NULLS LAST, work_order_id LIMIT 3""")
+    out["f6_categorized_sample"] = with_ctes("""
+SELECT work_order_id, company_name_standardized, ml_categorization FROM with_ml
+WHERE ml_categorization IS NOT NULL ORDER BY work_order_id LIMIT 3""")
+    out["c9_keyword_categories"] = "WITH " + ",\n".join(_fixture_ctes() + _pipeline_ctes()) + ",\n" + _keyword_sql()
+    return out
+
+
+_base_queries = queries
+
+
+def queries() -> dict[str, str]:  # noqa: F811
+    out = _base_queries()
+    out.update(more_queries())
+    return out
