@@ -247,3 +247,45 @@ def f6_categorized_sample(spark, d):
 def c9_keyword_categories(spark, d):
     from groundwork.operators import categorize as cat
     return cat.categorize(_p(spark, d).corrected(), answers=None)
+
+
+@register("i1_stream_dedup")
+def i1_stream_dedup(spark, d):
+    """Redelivered events (every third one twice) -> exactly once per event id.
+
+    The source folder is written under the shared checkpoint dir; the stream
+    runs with availableNow and the deduplicated sink is read back.
+    """
+    import uuid
+
+    from groundwork.session import shared_path
+    from groundwork.streaming import stream
+
+    base = shared_path(spark, f"i1-{uuid.uuid4().hex}")
+    ev = FX.read(spark, d, "events")
+    ev.write.mode("append").parquet(f"{base}/src")
+    ev.filter(F.col("event_id") % 3 == 0).write.mode("append").parquet(f"{base}/src")
+    s = stream.ingest(spark, f"{base}/src", ev.schema, key="event_id", ts_col="ts", delay="1 day")
+    stream.run_available(s, f"{base}/out", f"{base}/checkpoint")
+    out = spark.read.parquet(f"{base}/out")
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("h7_json_answers")
+def h7_json_answers(spark, d):
+    """H7 parse + H9 services + D20 score + B13 missing fields + B12 split."""
+    a = extract.parse_json(FX.json_answers(spark, d))
+    return a.select(
+        "work_order_id", "is_valid",
+        F.col("answer.work_order_number").alias("work_order_number"),
+        F.col("answer.project_name").alias("project_name"),
+        F.size(extract.normalize_services(F.col("answer.services"))).alias("n_services"),
+        F.round(extract.extraction_score(F.col("answer")), 6).alias("score"),
+        F.array_join(extract.missing_fields(F.col("answer")), ",").alias("missing"),
+    ).where(F.col("is_valid"))
+
+
+@register("d16_run_summary")
+def d16_run_summary(spark, d):
+    a = extract.parse_json(FX.json_answers(spark, d))
+    return quality.run_summary(a)

