@@ -9,6 +9,7 @@ from groundwork.llm.language_id import op6_language_id
 from groundwork.llm.line_dedup import op3_line_dedup
 from groundwork.llm.minhash_dedup import op8_minhash_dedup
 from groundwork.llm.packing import op1_best_fit_packing
+from groundwork.llm.substring_dedup import op4_substring_dedup
 from groundwork.llm.token_counts import op7_token_counts
 from groundwork.llm.url_filter import OP2_SQL, op2_url_filter
 
@@ -18,6 +19,7 @@ QUERIES = {
         op1_best_fit_packing,
         op2_url_filter,
         op3_line_dedup,
+        op4_substring_dedup,
         op5_html_extraction,
         op6_language_id,
         op7_token_counts,

@@ -42,7 +42,7 @@ UNITS = frozenset(
     "kilometer kilometers kilometre kilometres mph kmh kw kwh watt watts volt volts".split()
 )
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?\Z")
-EDGES = re.compile(r"^[^\w$€£+%-]+|[^\w%]+$")
+EDGES = "!\"#&'()*,./:;<=>?@[\\]^_`{|}~«»‘’“”„…–—¿¡"  # punctuation around a word; + - % and currency can be part of a number
 NUM, NAME, UNIT = 1, 2, 3  # codes of placeholders
 CAPITAL, ENDS, IS_NUM, IS_UNIT = 1, 2, 4, 8  # flags in a packed word's low bits
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -69,11 +69,15 @@ class Words:
 
 
 def packed(word: str) -> int:
-    core = EDGES.sub("", word) or word
+    core = word if word[0].isalnum() and word[-1].isalnum() else word.strip(EDGES) or word
     lower = core.lower()
-    flags = CAPITAL * (core[:1].isupper() and (len(core) > 1 and not core.isupper()))
-    flags |= ENDS * (word.rstrip("\"')]")[-1:] in (".", "!", "?", ":"))
-    flags |= IS_NUM * bool(NUMBER.match(core)) | IS_UNIT * (lower in UNITS)
+    flags = CAPITAL if core != lower and core[0].isupper() and not core.isupper() else 0
+    if not word[-1].isalnum() and word.rstrip("\"')]")[-1:] in (".", "!", "?", ":"):
+        flags |= ENDS
+    if (core[0].isdigit() or core[0] in "+-$€£") and NUMBER.match(core):
+        flags |= IS_NUM
+    if lower in UNITS:
+        flags |= IS_UNIT
     return xxhash.xxh3_64_intdigest(lower) & ~15 | flags
 
 

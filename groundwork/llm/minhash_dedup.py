@@ -25,13 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundwork.llm.common import pieces_of, staged, table
 from groundwork.llm.components import components
+from groundwork.llm.rolling import BASE, mixed, word_hashes
 
 TOKENS = 64
 TREES = 12
@@ -40,115 +40,84 @@ MORE_LEVELS = 4
 NODE = 256
 FAR_BITS = 20  # of 64; a pair at similarity 0.8 differs in 6.4 on average, with deviation 2.4
 SEED = 88172645463325252
-BATCH_BYTES = 4 << 20
-MEMO_ENTRIES = 500_000
-UPPER = {c: c + 32 for c in range(65, 91)}
-# Python's split() also parts at these characters, which belong to words here.
-OTHER_BLANKS = regex.compile("[\x1c-\x1f\x85\xa0  -     　]")
-WORD = regex.compile(r"[^\x20\x09-\x0D]+")
-
-
-def words_of(text: str) -> list[str]:
-    text = text.translate(UPPER) if not text.isascii() else text.lower()
-    return WORD.findall(text) if OTHER_BLANKS.search(text) else text.split()
-
-
-class Shingler:
-    """Distinct hashed shingles of texts; word hashes are memoized."""
-
-    def __init__(self, size: int):
-        self.size = size
-        self.memo: dict[str, int] = {}
-
-    def hashes(self, words: list[str]) -> np.ndarray:
-        memo = self.memo
-        try:
-            return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            pass
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        digest = xxhash.xxh3_64_intdigest
-        for w in words:
-            if w not in memo:
-                memo[w] = digest(w)
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, np.uint64)
-        h = self.hashes(words)
-        size = min(self.size, len(h))
-        n = len(h) - size + 1
-        out = np.full(n, size, np.uint64)
-        for j in range(size):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[j : j + n])
-        return np.unique(out)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(29))
+BATCH_BYTES = 2 << 20
+
+
+def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
+    """The sorted distinct hashed shingles of each text."""
+    hashes, counts = word_hashes([t.encode("utf-8", "surrogatepass") for t in texts])
+    ends = np.cumsum(counts)
+    joined = chained([hashes[j : len(hashes) - size + 1 + j] for j in range(size)]) if len(hashes) >= size else hashes[:0]
+    out = []
+    for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        if b - a >= size:
+            out.append(np.unique(joined[a : b - size + 1]))
+        else:  # fewer words: the whole sequence as one
+            out.append(chained([hashes[k : k + 1] for k in range(a, b)]) if b > a else hashes[:0])
+    return out
+
+
+def chained(columns: list[np.ndarray]) -> np.ndarray:
+    out = np.full(len(columns[0]), len(columns), np.uint64)
+    for h in columns:
+        out = mixed(out * np.uint64(BASE) + h)
+    return out
 
 
 def multipliers(tokens: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    return rng.integers(0, 1 << 63, tokens, np.uint64) * 2 + 1, rng.integers(0, 1 << 63, tokens, np.uint64)
+    return (rng.integers(0, 1 << 31, (tokens, 1)) * 2 + 1).astype(np.uint32), rng.integers(0, 1 << 32, (tokens, 1)).astype(np.uint32)
 
 
 def minwise(shingles: np.ndarray, by: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The minimum of each seeded hash over the set, a bounded part of it at a time."""
-    out = np.full(len(by[0]), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 4096):
-        part = shingles[at : at + 4096]
-        h = part[None, :] * by[0][:, None] + by[1][:, None]
-        h ^= h >> np.uint64(31)
+    """The minimum of each seeded 32-bit hash over the set, a bounded part of it at a time."""
+    out = np.full(len(by[0]), np.iinfo(np.uint32).max, np.uint32)
+    high = (shingles >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(high), 4096):
+        h = high[None, at : at + 4096] * by[0]
+        h += by[1]
         np.minimum(out, h.min(1), out=out)
-    return mixed(out)
+    return out
 
 
-def branch(paths: np.ndarray, tokens: np.ndarray, extra: float) -> np.ndarray:
-    """Children of each path for a document: one chosen token, and with probability `extra` a second one."""
+def branch(paths: np.ndarray, rows: np.ndarray, tokens: np.ndarray, extra: float) -> tuple[np.ndarray, np.ndarray]:
+    """Children of paths of documents (rows of `tokens`): one chosen token, and with probability `extra` a second."""
     seeds = mixed(paths * np.uint64(0xA24BAED4963EE407) + np.uint64(1))
-    n = np.uint64(len(tokens))
+    n = np.uint64(tokens.shape[1])
     first = (seeds >> np.uint64(8)) % n
     second = (first + np.uint64(1) + (seeds >> np.uint64(24)) % (n - np.uint64(1))) % n
     more = (seeds >> np.uint64(40)) % np.uint64(1 << 20) < np.uint64(int(extra * (1 << 20)))
-    one = mixed((paths ^ (first + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15) + tokens[first])
-    two = mixed((paths ^ (second + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15) + tokens[second])
-    return np.unique(np.concatenate([one, two[more]]))
+    grow = lambda own, at, token: mixed((own ^ (token + np.uint64(1))) * np.uint64(BASE) + mixed(tokens[at, token] + np.uint64(1 << 33)))
+    children = np.concatenate([grow(paths, rows, first), grow(paths[more], rows[more], second[more])])
+    return children, np.concatenate([rows, rows[more]])
 
 
-def sketch(tokens: np.ndarray) -> int:
-    bits = np.packbits((tokens >> np.uint64(13)).astype(np.uint8) & 1)
-    return int(np.frombuffer(bits.tobytes().ljust(8, b"\0")[:8], ">i8")[0])
+def sketches(tokens: np.ndarray) -> np.ndarray:
+    """One bit of each of 64 minwise tokens, as a long per row."""
+    return np.packbits(mixed(tokens.astype(np.uint64)).astype(np.uint8) & 1, axis=1)[:, :8].copy().view(np.int64)[:, 0]
 
 
 def _signing(size: int, similarity: float, trees: int, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, by = Shingler(size), multipliers(TOKENS)
+        by = multipliers(TOKENS)
         roots = mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
         for whole in batches:
             for batch in pieces_of(whole, "text", BATCH_BYTES):
-                n, digest, bits, paths, tokens = [], [], [], [], []
-                for value in batch.column("text"):
-                    own = shingler(value.as_py() or "")
-                    n.append(len(own))
-                    if not len(own):
-                        for x in (digest, bits, paths, tokens):
-                            x.append(None)
-                        continue
-                    mins = minwise(own, by)
-                    path = roots
-                    for _ in range(depth):
-                        path = branch(path, mins, 1 / similarity - 1)
-                    digest.append(xxhash.xxh3_128_digest(own.tobytes()))
-                    bits.append(sketch(mins))
-                    paths.append(path.view(np.int64))
-                    tokens.append(mins.tobytes())
+                sets = shingle_sets([t or "" for t in batch.column("text").to_pylist()], size)
+                some = np.flatnonzero([len(x) for x in sets])
+                tokens = np.array([minwise(sets[i], by) for i in some], np.uint32).reshape(len(some), TOKENS)
+                rows, paths = np.repeat(np.arange(len(some)), trees), np.tile(roots, len(some))
+                for _ in range(depth):
+                    paths, rows = branch(paths, rows, tokens, 1 / similarity - 1)
+                order = np.argsort(rows, kind="stable")
+                own_paths = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows[order], np.arange(len(some) + 1)), pa.int32()), pa.array(paths[order].view(np.int64)))
+                at = np.full(len(sets), -1)
+                at[some] = np.arange(len(some))
+                take = pa.array(at, pa.int64(), mask=at < 0)
+                digests = pa.array([xxhash.xxh3_128_digest(sets[i].tobytes()) for i in some], pa.binary())
+                raw = pa.array([t.tobytes() for t in tokens], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bits, pa.int64()), pa.array(paths, pa.list_(pa.int64())), pa.array(tokens, pa.binary())],
+                    [batch.column("id"), pa.array([len(x) for x in sets], pa.int64()), digests.take(take), pa.array(sketches(tokens), pa.int64()).take(take), own_paths.take(take), raw.take(take)],
                     names=["id", "n", "digest", "bits", "paths", "tokens"],
                 )
 
@@ -158,12 +127,11 @@ def _signing(size: int, similarity: float, trees: int, depth: int):
 def _branching(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, out = [], []
-            for i, (path, raw) in enumerate(zip(batch.column("node").to_numpy(), batch.column("tokens").to_pylist(), strict=True)):
-                children = branch(np.array([path]).view(np.uint64), np.frombuffer(raw, np.uint64), 1 / similarity - 1).view(np.int64)
-                at += [i] * len(children)
-                out += children.tolist()
+            raw = batch.column("tokens").to_pylist()
+            tokens = np.frombuffer(b"".join(raw), np.uint32).reshape(len(raw), TOKENS)
+            out, at = branch(batch.column("node").to_numpy().view(np.uint64), np.arange(len(raw)), tokens, 1 / similarity - 1)
             rows = batch.take(pa.array(at, pa.int64()))
+            out = out.view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), rows.column("id"), rows.column("bits")], names=["node", "id", "bits"])
 
     return run
@@ -173,15 +141,16 @@ def _confirming(size: int, similarity: float):
     per_cent = round(similarity * 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                a, b = shingler(left.as_py()), shingler(right.as_py())
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= per_cent * (len(a) + len(b) - both))
-            rows = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b")], names=["a", "b"])
+        for whole in batches:
+            for batch in pieces_of(whole, "ta", BATCH_BYTES):
+                left = shingle_sets(batch.column("ta").to_pylist(), size)
+                right = shingle_sets(batch.column("tb").to_pylist(), size)
+                keep = []
+                for a, b in zip(left, right, strict=True):
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    keep.append(100 * both >= per_cent * (len(a) + len(b) - both))
+                rows = batch.filter(pa.array(keep, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b")], names=["a", "b"])
 
     return run
 
