@@ -358,8 +358,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     dealt = rows.repartition("anchor").sortWithinPartitions("anchor", "digest", "id", "place")
     firsts = staged(dealt.mapInArrow(_first_places(hot), "id long, place long"), "first-places")
     with_places = mine.join(firsts.groupBy("id").agg(F.collect_list("place").alias("places")), "id", "left")
-    shared = with_places.where(F.col("places").isNotNull()).select("id", "text", "places").mapInArrow(_shared_bytes(length, gram), "anchor long, id long, place long, raw binary")
-    shared = staged(shared, "shared")
+    # the join is written the same way each time, so that its two shuffles are made once and reused
+    with_places = with_places.select("id", "text", "places")
+    shared = with_places.mapInArrow(_shared_bytes(length, gram), "anchor long, id long, place long, raw binary")
     is_hot = F.col("place").bitwiseAND(1 << HOTBIT) != 0
     indexed = shared.where(~is_hot).repartition("anchor").sortWithinPartitions("anchor", "id", "place").mapInArrow(_indexing(length), "id long, place long")
     windows = shared.where(is_hot).select("id", "place", "raw").mapInArrow(_windows(length), "high long, low long, id long, place long")
