@@ -188,8 +188,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     beside = (F.col("id") != F.col("lead")) & near(F.col("bits"), F.col("lead_bits"))
     led = rows.where(beside).select(F.col("lead").alias("a"), F.col("id").alias("b"))
     odd = rows.where((F.col("id") != F.col("lead")) & ~near(F.col("bits"), F.col("lead_bits"))).select("node", F.col("id").alias("a"), F.col("bits").alias("x"))
-    by_odd = odd.join(rows.select("node", "id", "bits"), "node").where((F.col("a") != F.col("id")) & near(F.col("x"), F.col("bits")))
-    some = led.select(F.col("a").alias("id")).union(led.select("b")).union(by_odd.select("a")).union(by_odd.select("id")).distinct()
+    # each side of those near pairs once: a group's pairs are not made
+    x, y = odd.select(F.col("node").alias("n"), "a", "x"), rows.select("node", "id", "bits")
+    meet = (F.col("n") == F.col("node")) & (F.col("a") != F.col("id")) & near(F.col("x"), F.col("bits"))
+    some = led.select(F.col("a").alias("id")).union(led.select("b"))
+    some = some.union(x.join(y, meet, "left_semi").select("a")).union(y.join(x, meet, "left_semi").select("id")).distinct()
     texts = mine.where("id IS NOT NULL AND text IS NOT NULL").join(some, "id", "left_semi")
     texts = staged(texts.dropDuplicates(["id"]), "texts")
 

@@ -35,15 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import staged, table
+from groundwork.llm.common import pieces_of, staged, table
 from groundwork.llm.embedding_dedup import grouped
 from groundwork.llm.rolling import mixed, powers, prefix_sums
 
 LENGTH = 100
 GRAM = 32
 HOT = 2000
-PIECE = 2 << 20
-INDEX_BYTES = 512 << 10
+PIECE = 1 << 20
+INDEX_BYTES = 256 << 10
 NULL_ID = -(1 << 63)
 # A place in one long: start 31 bits, windows 7, anchor's offset 7, shared 1, hot 1, tag of the text 16.
 START, WINDOWS, OFFSET, SHARED, HOTBIT, TAG = 32, 25, 18, 17, 16, (1 << 16) - 1
@@ -120,7 +120,7 @@ def utf8(column: pa.Array) -> list[bytes]:
 
 def _stretching(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b for whole in batches for b in pieces_of(whole, "text", 4 * PIECE)):
             ids, texts = batch.column("id").to_numpy(), utf8(batch.column("text"))
             tags = np.array([tag_of(t) if len(t) >= length else 0 for t in texts], np.int64)
             for anchor, digest, text, place in stretches(texts, ids, length, gram):
@@ -175,7 +175,7 @@ def _shared_bytes(length: int, gram: int):
     """The bytes of a document's shared stretches, with their anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b for whole in batches for b in pieces_of(whole, "text", 4 * PIECE)):
             anchor, ids, place, raw = [], [], [], []
             for i, text, places in zip(batch.column("id").to_pylist(), utf8(batch.column("text")), batch.column("places"), strict=True):
                 own = mine(places, text, length)
@@ -321,7 +321,7 @@ def _windows(length: int):
 
 def _removing(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b for whole in batches for b in pieces_of(whole, "text", 4 * PIECE)):
             n_bytes, n_removed, n_spans, digests = [], [], [], []
             for text, places, more in zip(utf8(batch.column("text")), batch.column("places"), batch.column("more"), strict=True):
                 n = len(text)
