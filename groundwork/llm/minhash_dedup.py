@@ -8,9 +8,9 @@ at any depth, as the chosen-path method asks. `DEPTH` levels are expanded at onc
 larger than `NODE` rows branch on, level by level, until nodes are small.
 
 Nodes are compared exhaustively, in two turns, so that a group of copies never emits all its pairs. First every
-document is checked against the smallest of one of its nodes; links found so far are closed into components. Then
-the pairs of each node that are still in different components are compared, in a join by node that Spark can split
-where a node stays large (a dense group that no branching parts). A 64-bit sketch (one bit of each minwise token) leaves
+document is checked against the smallest of each of its nodes; links found so far are closed into components. Then
+rows of each node that are still in different components are compared, block by block where a node stays large (a
+dense group that no branching parts), and each block gives one link from a document to a component. A 64-bit sketch (one bit of each minwise token) leaves
 out pairs far below the threshold; every link is confirmed by the exact overlap of the full sets.
 
 Defined results: null and empty texts, and texts without words, have 0 shingles and stand alone. A text with fewer
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from groundwork.llm.common import pieces_of, staged, table
 from groundwork.llm.components import components
+from groundwork.llm.embedding_dedup import grouped
 from groundwork.llm.rolling import BASE, mixed, word_hashes
 
 TOKENS = 64
@@ -38,6 +39,7 @@ TREES = 12
 DEPTH = 4
 MORE_LEVELS = 4
 NODE = 256
+BLOCK = 512
 FAR_BITS = 20  # of 64; a pair at similarity 0.8 differs in 6.4 on average, with deviation 2.4
 SEED = 88172645463325252
 BATCH_BYTES = 2 << 20
@@ -161,6 +163,61 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_confirming(size, similarity), "a long, b long")
 
 
+def across(rows: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links between the odd rows of a node and its other rows of other components, compared block by block.
+
+    A node's odd rows and other rows are cut into blocks of about `BLOCK`; each pair of blocks is a group of its own,
+    of bounded size, that gives a spanning forest of its links.
+    """
+    blocks = rows.groupBy("node").agg(F.ceil(F.count_if("odd") / BLOCK).cast("int").alias("odds"), F.ceil(F.count_if(~F.col("odd")) / BLOCK).cast("int").alias("rest"))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("odd"), F.col("odds")).otherwise(F.col("rest"))).cast("int")
+    met = rows.join(blocks.where("odds > 0 AND rest > 0"), "node").withColumn("own", own)
+    cells = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("odd"), F.col("rest")).otherwise(F.col("odds")) - 1)))
+    cells = cells.select("node", "id", "part", "odd", F.when(F.col("odd"), F.col("own")).otherwise(F.col("other")).alias("i"), F.when(F.col("odd"), F.col("other")).otherwise(F.col("own")).alias("j"))
+    dealt = cells.join(texts, "id").repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
+    return dealt.mapInArrow(_crossing(size, similarity), "a long, b long")
+
+
+def _crossing(size: int, similarity: float):
+    per_cent = round(similarity * 100)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["node", "i", "j"]):
+            ids, part = group.column("id").to_numpy(), group.column("part").to_numpy()
+            odd = group.column("odd").to_numpy(zero_copy_only=False)
+            if odd.all() or not odd.any():
+                continue
+            sets = shingle_sets(group.column("text").to_pylist(), size)
+            sizes = np.array([len(x) for x in sets])
+            i, j = np.flatnonzero(odd), np.flatnonzero(~odd)
+            both = overlaps([sets[k] for k in i], [sets[k] for k in j])
+            linked = (100 * both >= per_cent * (sizes[i][:, None] + sizes[j][None, :] - both)) & (part[i][:, None] != part[j][None, :])
+            # one link from an odd row to each component: the component's own links are known
+            p, q = np.nonzero(linked)
+            if len(p):
+                a, b = ids[i][p], ids[j][q]
+                keep = np.unique(np.stack([p, part[j][q]]), axis=1, return_index=True)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep])], names=["a", "b"])
+
+    return run
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set: exact counts, by shared elements."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    values = np.concatenate(right)
+    owner = np.repeat(np.arange(len(right)), [len(x) for x in right])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    for k, own in enumerate(left):
+        low, high = np.searchsorted(values, own), np.searchsorted(values, own, side="right")
+        n = high - low
+        if total := int(n.sum()):
+            at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(total)
+            out[k] = np.bincount(owner[at], minlength=len(right))
+    return out
+
+
 def near(x, y):
     return F.bit_count(x.bitwiseXOR(y)) <= FAR_BITS
 
@@ -196,19 +253,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = mine.where("id IS NOT NULL AND text IS NOT NULL").join(some, "id", "left_semi")
     texts = staged(texts.dropDuplicates(["id"]), "texts")
 
-    # first turn: each document against one smallest of its nodes
-    first = led.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = staged(confirmed(first, texts, shingle, similarity), "links")
+    # first turn: each document against the smallest of each of its nodes
+    links = staged(confirmed(led.distinct(), texts, shingle, similarity), "links")
     reach = components(links)
 
-    # second turn: near pairs of a node that are still apart, against the node's smallest component and each other
+    # second turn: what is still apart in a node, against the node's smallest component and each other
     parts = staged(rows.select("node", "id", "bits").join(texts.select("id"), "id", "left_semi").join(reach, "id", "left").select("node", "id", "bits", F.coalesce("component", "id").alias("part")), "parts")
     lowest = parts.groupBy("node").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("node", "lo")
     members = parts.join(lowest, "node")
-    others = members.where("part <> lo").select("node", F.col("id").alias("a"), F.col("bits").alias("x"), F.col("part").alias("own"))
-    apart = others.join(members, "node").where((F.col("own") != F.col("part")) & ((F.col("part") == F.col("lo")) | (F.col("a") < F.col("id"))) & near(F.col("x"), F.col("bits")))
-    apart = staged(apart.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "apart")
-    linked = links.union(confirmed(apart, texts, shingle, similarity))
+    x = members.where("part <> lo").select(F.col("node").alias("n"), F.col("id").alias("a"), F.col("bits").alias("x"), F.col("part").alias("own"))
+    meet = (F.col("n") == F.col("node")) & (F.col("own") != F.col("part")) & near(F.col("x"), F.col("bits"))
+    others = x.join(members, meet, "left_semi").select(F.col("n").alias("node"), F.col("a").alias("id"), F.col("own").alias("part"), F.lit(True).alias("odd"))
+    them = members.join(x, meet, "left_semi").select("node", "id", "part", F.lit(False).alias("odd"))
+    more = across(others.union(them), texts, shingle, similarity)
+    linked = links.union(more)
     # a class's other ids hang on its representative
     reach = components(linked)
     out = signed.select("id", "n", "digest").join(classes.select("digest", F.col("id").alias("lead")), "digest", "left")
