@@ -25,8 +25,8 @@ FLOAT_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INT_RE = r"^[+-]?[0-9]+$"
 
 
-# ASCII whitespace removed by strip_ws (the set regex \s matches).
-WS_CHARS = " \t\n\r\x0b\x0c"
+# Blanks removed by strip_ws: ASCII white space and the Unicode blanks that occur in text from documents.
+WS_CHARS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip_ws(c) -> Column:
@@ -55,7 +55,8 @@ def year(c) -> Column:
     """Year text/number -> int; values below 100 get 2000 added; junk -> NULL."""
     t = strip_ws(as_col(c).cast("string"))
     v = F.when(t.rlike(INT_RE), t.try_cast("int"))
-    # a non-string 0 is falsy in the reference; the text "0" is not
+    # a number 0 is no year; the text "0" is 2000
+    v = F.when((F.typeof(as_col(c)) != "string") & (v == 0), None).otherwise(v)
     return F.when(v < 100, v + 2000).otherwise(v)
 
 

@@ -38,17 +38,21 @@ def newer_than(src: DataFrame, target: DataFrame | None, col: str, bootstrap: bo
     return src.crossJoin(hwm).filter(cond).drop("_hwm")
 
 
-def upsert(target: DataFrame | None, new: DataFrame, key: str, order_col: str) -> DataFrame:
+def upsert(target: DataFrame | None, new: DataFrame, key: str, order_col: str,
+           ties: list[str] | None = None) -> DataFrame:
     """A8 + G1: new rows replace same-key target rows; others are appended.
 
     `new` is first reduced to its latest row per key, so replaying the same
-    batch is idempotent.
+    batch is idempotent. Equal times are decided by `ties` (all other columns
+    unless given), so the result does not depend on the order of rows. Columns
+    that only one side has are kept, NULL in the other's rows.
     """
-    fresh = latest(new, key, [order_col])
+    rest = [c for c in new.columns if c not in (key, order_col)] if ties is None else ties
+    fresh = latest(new, key, [order_col, *rest])
     if target is None:
         return fresh
     kept = target.join(fresh.select(key), key, "left_anti")
-    return kept.unionByName(fresh.select(*target.columns), allowMissingColumns=True)
+    return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def ensure_column(df: DataFrame, name: str, dtype: str) -> DataFrame:
@@ -56,16 +60,19 @@ def ensure_column(df: DataFrame, name: str, dtype: str) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(dtype))
 
 
-def update_column(target: DataFrame, src: DataFrame, key: str, cols: list[str]) -> DataFrame:
+def update_column(target: DataFrame, src: DataFrame, key: str, cols: list[str],
+                  order_col: str | None = None) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE SET cols, as one left join.
 
-    The source is reduced to one row per key (the largest value on repeats);
-    unmatched target rows keep their values (NULL for a new column).
+    The source is reduced to one row per key: the last by `order_col`, then by
+    the values, always whole. A match sets its values, NULL included; unmatched
+    target rows keep theirs (NULL for a new column).
     """
     t = target
     for c in cols:
         t = ensure_column(t, c, dict(src.dtypes)[c])
-    s = src.groupBy(key).agg(*[F.max(c).alias(f"_src_{c}") for c in cols])
+    rank = F.struct(*([order_col] if order_col else []), *cols)
+    s = src.groupBy(key).agg(F.max_by(F.struct(*cols), rank).alias("_src"))
     j = t.join(s, key, "left")
-    out = [F.coalesce(F.col(f"_src_{c}"), F.col(c)).alias(c) if c in cols else F.col(c) for c in t.columns]
+    out = [F.when(F.col("_src").isNotNull(), F.col("_src")[c]).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in t.columns]
     return j.select(*out)

@@ -51,7 +51,7 @@ def _failing(c: Check) -> Column:
             bad = bad | (col > F.lit(c.max_value))
         return col.isNotNull() & bad
     if c.kind == "expression":
-        return ~F.coalesce(F.expr(c.expression), F.lit(False))
+        return ~F.coalesce(F.expr(c.expression), F.lit(True))
     raise ValueError(c.kind)
 
 
@@ -176,9 +176,15 @@ def thresholds(df: DataFrame, score_col: str, cols: list[str], min_score: float
 
 
 def gate(results: DataFrame) -> None:
-    """Fail the run when an error-severity check failed (reads only failing rows)."""
-    bad = results.filter(~F.col("passed") & (F.col("severity") == "error")).select("model", "check_name").limit(20)
-    rows = bad.collect()  # at most 20 short rows
+    """Fail the run when an error-severity check failed, and name every failed one.
+
+    Results have one row per declared check. Checks without a severity are errors, those
+    without a model are checks of the pipeline.
+    """
+    severity = F.col("severity") if "severity" in results.columns else F.lit("error")
+    model = F.col("model") if "model" in results.columns else F.lit("pipeline")
+    bad = results.filter(~F.coalesce("passed", F.lit(False)) & (severity == "error"))
+    rows = bad.select(model.alias("model"), "check_name").orderBy("model", "check_name").collect()
     if rows:
         raise ValueError(f"data quality checks failed: {[(r.model, r.check_name) for r in rows]}")
 

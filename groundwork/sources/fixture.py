@@ -282,10 +282,10 @@ def answer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Service-block answer per work order (what a categorization hook returns).
 
-    Blocks follow the first eight ranked lines of the order, so an answer is
-    bounded by construction.
+    Every line of the order is a block, in ranked order; an answer is as long
+    as its own order.
     """
-    li = ranked_lines(spark, sf_dir)
+    li = ranked_lines(spark, sf_dir, top=None)
     name = _pick((F.col("l_partkey") + F.col("l_linenumber")) % len(ANSWER_SERVICES), ANSWER_SERVICES)
     blocks = F.when(F.col("l_suppkey") % 5 == 0, F.lit("Not specified")).otherwise(
         F.concat(F.lit("Lot "), (F.col("l_partkey") % 20).cast("string"))

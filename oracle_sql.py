@@ -101,7 +101,7 @@ def _fixture_ctes() -> list[str]:
     for i in range(1, 9):
         raw_cols += [f"coalesce(dt{i}, 'N/A') AS d{i}", f"qv{i} AS q{i}", f"hv{i} AS h{i}"]
     ctes.append("raw AS (SELECT " + ", ".join(raw_cols) + " FROM ow)")
-    # category answers: first eight ranked lines as service blocks
+    # category answers: every ranked line as a service block
     n_svc = len(FX.ANSWER_SERVICES)
     svc = f"{lst(FX.ANSWER_SERVICES)}[CAST((l_partkey + l_linenumber) % {n_svc} AS INTEGER) + 1]"
     blocks = "(CASE WHEN l_suppkey % 5 = 0 THEN 'Not specified' ELSE 'Lot ' || CAST(l_partkey % 20 AS VARCHAR) END)"
@@ -110,7 +110,7 @@ def _fixture_ctes() -> list[str]:
     ctes.append(f"""cat_answers AS (
   SELECT 'WO-' || CAST(l_orderkey AS VARCHAR) AS work_order_id,
          string_agg({block}, {NL} || {NL} ORDER BY r) AS answer_text
-  FROM r8 GROUP BY l_orderkey)""")
+  FROM rl GROUP BY l_orderkey)""")
     ctes.append(f"""dict AS (
   SELECT DISTINCT 'Builder ' || CAST(kk AS VARCHAR) AS original_name,
     CASE WHEN kk < {FX.DICTIONARY_MAX_BUILDER} THEN 'BUILDER GROUP ' || CAST(kk // 2 AS VARCHAR)

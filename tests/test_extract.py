@@ -8,7 +8,7 @@ def test_parse_fields(spark, sample_answer):
     df = spark.createDataFrame([(sample_answer,)], "t string")
     p = df.select(extract.parse_fields(F.col("t")).alias("p"))
     r = p.select(*[extract.field(F.col("p"), k).alias(f"f{k}") for k in (1, 2, 4, 8, 10)]).first()
-    assert (r.f1, r.f2, r.f4, r.f8, r.f10) == ("12345", "BROOKFIELD HOMES", "MAY", "325 DL", "X1")
+    assert (r.f1, r.f2, r.f4, r.f8, r.f10) == ("77-031", "NORTHGATE LIVING", "OCTOBER", "SKID STEER", "X1")
 
 
 def test_last_duplicate_wins_and_junk_lines(spark):
@@ -25,10 +25,10 @@ def test_to_raw_row(spark, sample_answer):
     df = df.withColumn("extracted_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     r = extract.to_raw_row(df).first()
     assert len(r) == 38
-    assert r.year == 2018 and r.q1 is None and r.h1 == 10.0 and r.service3 == "N/A" and r.d4 == "N/A"
+    assert r.year == 2021 and r.q1 is None and r.h1 == 6.5 and r.service3 == "N/A" and r.d4 == "N/A"
     lines = extract.service_lines(extract.to_raw_row(df)).orderBy("line_no").collect()
     # service1 has two lines (D2 set), service2 one line (D4 is N/A)
-    assert [(x.line_no, x.service_type) for x in lines] == [(1, "325 DL"), (2, "325 DL"), (3, "TRI-AXLE")]
+    assert [(x.line_no, x.service_type) for x in lines] == [(1, "SKID STEER"), (2, "SKID STEER"), (3, "DUMP TRAILER")]
 
 
 def test_parse_json(spark):
