@@ -33,8 +33,8 @@ MIN_WORDS = 5
 RUN = 13
 COVERAGE = 0.6
 INDEX_BYTES = 32 << 20
-BATCH_BYTES = 2 << 20
-MEMO_ENTRIES = 500_000
+BATCH_BYTES = 1 << 20
+MEMO_ENTRIES = 200_000
 # Units of measure that count as units after a number.
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg gram grams kilogram kilograms oz lb lbs pound pounds ton tons ml l liter liters litre litres "

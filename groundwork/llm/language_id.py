@@ -30,7 +30,7 @@ from groundwork.llm.common import pieces_of, table
 DOCS_PER_LANG = 200
 CHARS_PER_DOC = 300
 STRETCH = 256
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 512 << 10
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 

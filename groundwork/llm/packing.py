@@ -31,7 +31,7 @@ from groundwork.llm.common import merging_only, staged, table
 
 CAPACITY = 2048
 SEPARATOR_ID = 0
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 150_000
 # Fixed value: the split pattern of the vocabulary file, applied to its lower-cased text.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _workers: dict[str, "WordIds"] = {}

@@ -29,7 +29,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # Blanks that don't stand before a visible character.
 UNSAFE = regex.compile(r" (?:\s|\Z)")
 SLICE_CHARS = 1 << 20
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 200_000
 LIMIT = 1024
 
 _workers: dict[str, "Counting"] = {}
