@@ -131,7 +131,9 @@ def _branching(similarity: float):
         for batch in batches:
             raw = batch.column("tokens").to_pylist()
             tokens = np.frombuffer(b"".join(raw), np.uint32).reshape(len(raw), TOKENS)
-            out, at = branch(batch.column("node").to_numpy().view(np.uint64), np.arange(len(raw)), tokens, 1 / similarity - 1)
+            nodes = batch.column("nodes")
+            paths = nodes.flatten().to_numpy().view(np.uint64)
+            out, at = branch(paths, np.repeat(np.arange(len(raw)), nodes.value_lengths().to_numpy()), tokens, 1 / similarity - 1)
             rows = batch.take(pa.array(at, pa.int64()))
             out = out.view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), rows.column("id"), rows.column("bits")], names=["node", "id", "bits"])
@@ -234,7 +236,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = staged(met(only.select(F.explode("paths").alias("node"), "id", "bits")), "nodes")
     rows = nodes.where(F.col("size") <= node)
     for level in range(MORE_LEVELS):
-        large = nodes.where(F.col("size") > node).select("node", "id", "bits")
+        # a row per document: its nodes are at most its own paths, some dozens
+        large = nodes.where(F.col("size") > node).groupBy("id", "bits").agg(F.collect_list("node").alias("nodes"))
         if large.isEmpty():
             break
         grown = large.join(only.select("id", "tokens"), "id").mapInArrow(_branching(similarity), "node long, id long, bits long").distinct()
