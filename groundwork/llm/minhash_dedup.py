@@ -4,8 +4,8 @@ Documents with equal shingle sets are one class, represented by the smallest id.
 tokens (the minimum of `TOKENS` seeded hashes over its set). In each of `TREES` independent trees a node chooses some
 of those tokens, seeded by its own path, and the document branches along the value of each chosen one. With one token
 always and a second with probability 1/similarity - 1, a pair at the threshold is expected to share as many paths
-at any depth, as the chosen-path method asks. `DEPTH` levels are expanded at once; documents of a node that is still
-larger than `NODE` rows branch on, level by level, until nodes are small.
+at any depth, as the chosen-path method asks. `DEPTH` levels are expanded at once; documents of a node that still has
+more than `NODE` rows besides copies of its smallest document branch on, level by level, until nodes are small.
 
 Nodes are compared exhaustively, in two turns, so that a group of copies never emits all its pairs. First every
 document is checked against the smallest of each of its nodes; links found so far are closed into components. Then
@@ -41,6 +41,8 @@ MORE_LEVELS = 4
 NODE = 256
 BLOCK = 512
 FAR_BITS = 20  # of 64; a pair at similarity 0.8 differs in 6.4 on average, with deviation 2.4
+# a pair at 0.8 differs in 6.4 bits on average, one such pair in twenty in more than this
+COPY_BITS = 10
 SEED = 88172645463325252
 BATCH_BYTES = 1 << 20
 
@@ -220,8 +222,8 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def near(x, y):
-    return F.bit_count(x.bitwiseXOR(y)) <= FAR_BITS
+def near(x, y, most: int = FAR_BITS):
+    return F.bit_count(x.bitwiseXOR(y)) <= most
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, trees: int = TREES, depth: int = DEPTH, node: int = NODE) -> DataFrame:
@@ -236,9 +238,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = staged(met(only.select(F.explode("paths").alias("node"), "id", "bits")), "nodes")
     rows = nodes.where(F.col("size") <= node)
     for level in range(MORE_LEVELS):
+        # copies of a node's smallest document would stay together at every depth; a node counts by the rest
+        big = nodes.where(F.col("size") > node)
+        apart = big.where(~near(F.col("bits"), F.col("lead_bits"), COPY_BITS)).groupBy("node").agg(F.count("*").alias("apart"))
+        crowded = staged(apart.where(F.col("apart") > node).select("node"), "crowded")
+        rows = rows.union(big.join(crowded, "node", "left_anti").select(*nodes.columns))
         # a row per document: its nodes are at most its own paths, some dozens
-        large = nodes.where(F.col("size") > node).groupBy("id", "bits").agg(F.collect_list("node").alias("nodes"))
-        if large.isEmpty():
+        large = big.join(crowded, "node", "left_semi").groupBy("id", "bits").agg(F.collect_list("node").alias("nodes"))
+        if crowded.isEmpty():
             break
         grown = large.join(only.select("id", "tokens"), "id").mapInArrow(_branching(similarity), "node long, id long, bits long").distinct()
         nodes = staged(met(grown), "nodes")
