@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         big = nodes.where(F.col("size") > node)
         apart = big.where(~near(F.col("bits"), F.col("lead_bits"), COPY_BITS)).groupBy("node").agg(F.count("*").alias("apart"))
         crowded = staged(apart.where(F.col("apart") > node).select("node"), "crowded")
-        rows = rows.union(big.join(crowded, "node", "left_anti").select(*nodes.columns))
+        rows = rows.union(staged(big.join(crowded, "node", "left_anti").select(*nodes.columns), "copies"))
         # a row per document: its nodes are at most its own paths, some dozens
         large = big.join(crowded, "node", "left_semi").groupBy("id", "bits").agg(F.collect_list("node").alias("nodes"))
         if crowded.isEmpty():
