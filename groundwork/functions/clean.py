@@ -84,13 +84,13 @@ def int_or_zero(c) -> Column:
 
 
 def date_multi(c) -> Column:
-    """First format that parses wins: ISO, US, day-first, long English form."""
+    """First format that parses wins: ISO, US, day-first, long English form; there is no year 0."""
     t = as_col(c)
     return F.coalesce(
-        F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(t, "yyyy-M-d")),
-        F.when(t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(t, "M/d/yyyy")),
-        F.when(t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(t, "d/M/yyyy")),
-        F.when(t.rlike(r"^[A-Za-z]+ \d{1,2}, \d{4}$"), F.try_to_date(t, "MMMM d, yyyy")),
+        F.when(t.rlike(r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(t, "yyyy-M-d")),
+        F.when(t.rlike(r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"), F.try_to_date(t, "M/d/yyyy")),
+        F.when(t.rlike(r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"), F.try_to_date(t, "d/M/yyyy")),
+        F.when(t.rlike(r"^[A-Za-z]+ \d{1,2}, (?!0000)\d{4}$"), F.try_to_date(t, "MMMM d, yyyy")),
     )
 
 

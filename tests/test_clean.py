@@ -50,9 +50,9 @@ def test_project(spark):
 
 
 def test_dates(spark):
-    got = one_col(spark, ["2024-01-05", "01/05/2024", "31/01/2024", "January 5, 2024", "24-01-05", "junk"],
-                  clean.date_multi)
-    assert got == [dt.date(2024, 1, 5), dt.date(2024, 1, 5), dt.date(2024, 1, 31), dt.date(2024, 1, 5), None, None]
+    got = one_col(spark, ["2024-01-05", "01/05/2024", "31/01/2024", "January 5, 2024", "24-01-05", "junk",
+                          "0000-01-01", "01/01/0000", "January 1, 0000"], clean.date_multi)
+    assert got == [dt.date(2024, 1, 5), dt.date(2024, 1, 5), dt.date(2024, 1, 31), dt.date(2024, 1, 5), None, None, None, None, None]
 
 
 def test_work_date(spark):
