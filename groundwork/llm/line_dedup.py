@@ -1,74 +1,92 @@
-"""Line deduplication by content-defined chunks (operator 3), in DataFrame functions only.
+"""Line deduplication by repeated runs of lines (operator 3), in DataFrame functions only.
 
-A text's lines are hashed, a rolling hash over each pair of neighbouring line hashes ends a chunk where it is 0 modulo
-`SPREAD`, so that boundaries depend on nearby lines alone and survive insertions before them. Chunks of at least two
-lines are grouped over the whole corpus by hash and then by their bytes (equal hashes alone never remove anything);
-all but the first, by document id and place, are removed.
+Every window of `MIN_LINES` neighbouring lines that stands at an earlier place (document id, then line) is a repeat, and
+a line goes if any window over it is one: exactly the lines of repeated runs of `MIN_LINES` or more lines go, whatever
+stands around the run, and each line stays at its first place in the corpus. Windows are grouped over the whole corpus
+by hash first; only those with a hash at two places or more are then compared by their bytes (equal hashes alone never
+remove anything).
 
-Defined results: null texts stay null and empty ones empty, with 0 lines removed. Chunks without a visible character
-stay. A chunk that repeats inside a document is removed there as well. A null id sorts first. Rows with the same id
-count as one place when they hold the same chunk at the same position, so exact repeats of a row are treated alike.
+Defined results: null texts stay null and empty ones empty, with 0 lines removed. A window without a visible character
+is no repeat. A run that repeats inside a document is removed there as well. A null id sorts first. Rows with the same
+id count as one place when they hold the same window at the same line, so exact repeats of a row are treated alike.
 All columns of the input are kept, whatever their names; an empty table gives an empty result.
 
-A hot chunk is reduced to one row per task before the shuffle, and a document only learns which of its chunks came
+A hot window is reduced to one row per task before the shuffle, and a document only learns which of its windows came
 first, so no group of copies meets in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundwork.llm.common import table
 
-SPREAD = 3
 MIN_LINES = 2
+LINE_BITS = 0xFFFFFFFF  # of a window's key, its first line; the other bits are its hash's
 
 
-def with_chunks(docs: DataFrame, text: str, spread: int) -> DataFrame:
-    """Adds `x_lines` and `x_chunks` [(first line, lines)] to the rows."""
+def key(line: Column, h: Column) -> Column:
+    return h.bitwiseAND(F.lit(~LINE_BITS)).bitwiseOR(line.cast("bigint"))
+
+
+def line_of(k: Column) -> Column:
+    return k.bitwiseAND(F.lit(LINE_BITS)).cast("int")
+
+
+def with_windows(docs: DataFrame, text: str, size: int) -> DataFrame:
+    """Adds `x_lines` and, for windows with a visible character, `x_windows` [(first line from 0, hash)]."""
     lines = docs.withColumn("x_lines", F.split(F.coalesce(text, F.lit("")), "\n", -1))
-    hashed = lines.withColumn("x_hashes", F.transform("x_lines", lambda line: F.xxhash64(line)))
-    ends = F.filter(
-        F.sequence(F.lit(1), F.size("x_hashes")),
-        lambda i: (i == F.size("x_hashes")) | ((i > 1) & (F.pmod(F.xxhash64(F.get("x_hashes", i - 2), F.get("x_hashes", i - 1)), F.lit(spread)) == 0)),
-    )
-    cut = hashed.withColumn("x_ends", ends)
-    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("x_ends", k - 1))
-    return cut.withColumn("x_chunks", F.transform("x_ends", lambda end, k: F.struct((start(k) + 1).alias("first"), (end - start(k)).alias("lines"))))
+    hashed = lines.withColumn("x_hashes", F.transform("x_lines", lambda line: F.struct(F.xxhash64(line).alias("h"), line.rlike(r"\S").alias("seen"))))
+    last = F.size("x_hashes") - size
+    at = lambda i: [F.get("x_hashes", i + k) for k in range(size)]
+    any_seen = lambda own: F.greatest(*[x["seen"] for x in own], F.lit(False))
+    window = lambda i: F.when(any_seen(at(i)), F.struct(i.alias("line"), F.xxhash64(*[x["h"] for x in at(i)]).alias("h")))
+    every = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), window)).otherwise(F.array())
+    return hashed.withColumn("x_windows", F.array_compact(every))
+
+
+def each(docs: DataFrame, id_col: str, structs: str) -> DataFrame:
+    """A row for each struct of an array. As an outer explode, since the optimizer adds a filter before an inner one, in which it works out the array anew for each line."""
+    return docs.select(F.col(id_col).alias("id"), F.explode_outer(structs).alias("w")).where("w IS NOT NULL").select("id", "w.*")
 
 
-def chunk_texts(lines: str, chunks: str):
-    """(number, lines, text, hash) of each chunk."""
-    text = lambda c: F.array_join(F.slice(lines, c["first"], c["lines"]), "\n")
-    return F.transform(chunks, lambda c, k: F.struct(k.alias("no"), c["lines"].alias("lines"), text(c).alias("chunk")))
+def firsts(rows: DataFrame, *same: str) -> DataFrame:
+    """For each id, the keys of windows (rows id, line, h) that come first among those equal in `same`, and of the shared ones."""
+    place = F.struct("id", "line")
+    by = rows.groupBy(*same).agg(F.min(place).alias("f"), F.max(place).alias("l"))
+    k = key(F.col("f.line"), F.col("h"))
+    one = by.select(F.col("f.id").alias("id"), k.alias("k"), F.when(~F.col("f").eqNullSafe(F.col("l")), k).alias("s"))
+    return one.groupBy("id").agg(F.collect_list("k").alias("x_first"), F.collect_list("s").alias("x_shared"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spread: int = SPREAD, min_lines: int = MIN_LINES) -> DataFrame:
-    """All columns of `docs` with repeated chunks removed from the text, and n_lines, n_removed."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+    """All columns of `docs` with repeated runs of lines removed from the text, and n_lines, n_removed."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    key, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
-    # (number, text, hash) of chunks
-    rows = with_chunks(plain.select(F.col(key).alias("id"), F.col(text).alias("text")), "text", spread)
-    rows = rows.select("id", F.explode(chunk_texts("x_lines", "x_chunks")).alias("c")).select("id", "c.*")
-    rows = rows.where((F.col("lines") >= min_lines) & F.col("chunk").rlike(r"\S")).withColumn("h", F.xxhash64("chunk"))
-    # equal hash, then equal bytes: the first place of each distinct chunk
-    firsts = rows.groupBy("h", "chunk").agg(F.min(F.struct("id", "no")).alias("f"))
-    mine = firsts.groupBy(F.col("f.id").alias("id")).agg(F.collect_list(F.xxhash64("f.no", "h")).alias("x_first"))
-    joined = with_chunks(plain, text, spread).join(mine, F.col(key).eqNullSafe(F.col("id")), "left")
-    parted = joined.withColumn("x_texts", chunk_texts("x_lines", "x_chunks"))
-    marked = parted.withColumn(
-        "x_all",
-        F.transform(F.filter("x_texts", lambda c: (c["lines"] >= min_lines) & c["chunk"].rlike(r"\S")), lambda c: F.struct(F.xxhash64(c["no"], F.xxhash64(c["chunk"])).alias("k"), c["no"].alias("no"))),
-    )
-    gone = marked.withColumn("x_gone", F.array_except(F.transform("x_all", lambda x: x["k"]), F.coalesce("x_first", F.array().cast("array<bigint>"))))
-    drop = gone.withColumn("x_drop", F.when(F.size("x_gone") == 0, F.array().cast("array<int>")).otherwise(F.transform(F.filter("x_all", lambda x: F.array_contains("x_gone", x["k"])), lambda x: x["no"])))
-    left = F.filter("x_texts", lambda c: ~F.array_contains("x_drop", c["no"]))
-    drop = drop.withColumn("x_left", F.when(F.size("x_drop") > 0, left))
-    new = F.when(F.size("x_drop") == 0, F.col(text)).otherwise(F.array_join(F.transform("x_left", lambda c: c["chunk"]), "\n"))
+    own, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    none = F.array().cast("array<bigint>")
+    # by hash: windows at one place only are settled here
+    rows = with_windows(plain.select(F.col(own).alias("id"), F.col(text).alias("text")), "text", min_lines)
+    mine = firsts(each(rows, "id", "x_windows"), "h")
+    # the texts move alone, their lines are split again after the join
+    joined = with_windows(plain.join(mine, F.col(own).eqNullSafe(F.col("id")), "left").drop("id"), text, min_lines)
+    keys = joined.withColumn("x_keys", F.transform("x_windows", lambda w: key(w["line"], w["h"])))
+    open_ = F.array_union(F.array_except("x_keys", F.coalesce("x_first", none)), F.array_intersect("x_keys", F.coalesce("x_shared", none)))
+    parted = keys.withColumn("x_open", open_)
+    # by bytes: the first place of each distinct window
+    part = lambda k: [F.get("x_lines", line_of(k) + i) for i in range(min_lines)]
+    shared = parted.withColumn("x_texts", F.transform("x_open", lambda k: F.struct(line_of(k).alias("line"), F.xxhash64(*[F.xxhash64(x) for x in part(k)]).alias("h"), F.concat_ws("\n", *part(k)).alias("chunk"))))
+    true = firsts(each(shared, own, "x_texts"), "h", "chunk").select("id", F.col("x_first").alias("x_true"))
+    marked = parted.join(true, F.col(own).eqNullSafe(F.col("id")), "left")
+    gone = marked.withColumn("x_gone", F.array_except("x_open", F.coalesce("x_true", none)))
+    lines_of = lambda k: F.transform(F.sequence(F.lit(0), F.lit(min_lines - 1)), lambda i: line_of(k) + i)
+    drop = gone.withColumn("x_drop", F.flatten(F.transform("x_gone", lines_of)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("x_lines") - 1), "x_drop")
+    drop = drop.withColumn("x_left", F.when(F.size("x_drop") > 0, stay))
+    new = F.when(F.size("x_drop") == 0, F.col(text)).otherwise(F.array_join(F.transform("x_left", lambda i: F.get("x_lines", i)), "\n"))
     count = F.when(F.col(text).isNull(), 0).otherwise(F.size("x_lines"))
-    kept = F.when(F.size("x_drop") == 0, count).otherwise(F.aggregate("x_left", F.lit(0), lambda n, c: n + c["lines"]))
+    kept = F.when(F.size("x_drop") == 0, count).otherwise(F.size("x_left"))
     out = drop.select(*[new.alias(n) if n == text else F.col(n) for n in names], count.alias("n_lines"), (count - kept).alias("n_removed"))
     return out.toDF(*docs.columns, "n_lines", "n_removed")
 

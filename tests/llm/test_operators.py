@@ -136,6 +136,30 @@ def test_lines(spark, docs, none):
     assert texts
 
 
+def test_lines_all_repeated_runs(spark):
+    rng = random.Random(11)
+    texts = ["\n".join(rng.choice(["", " ", "a", "b", "c d", "e", "f", "g"]) for _ in range(rng.randint(1, 9))) for _ in range(150)]
+    runs = ["\n".join(" ".join(words(5, rng)) for _ in range(rng.randint(2, 4))) for _ in range(40)]
+    texts += [f"{' '.join(words(4, rng))}\n{run}\n{' '.join(words(4, rng))}" for run in runs for _ in range(2)]
+    rows = [(None, "a\nb\na\nb\nb"), (3, texts[3]), (3, "x\ny\nx\ny"), *enumerate(texts), (1000, None), (1001, ""), (1002, "z\n" * 20)]
+    seen, first = {}, {}
+    for i, t in rows:
+        own = (t or "").split("\n")
+        for at in range(len(own) - 1):
+            if any(x.strip() for x in own[at : at + 2]):
+                place = (i is not None, i or 0, at)
+                first[tuple(own[at : at + 2])] = min(first.get(tuple(own[at : at + 2]), place), place)
+    for i, t in rows:
+        own = (t or "").split("\n")
+        gone = {p for at in range(len(own) - 1) if first.get(tuple(own[at : at + 2]), (i is not None, i or 0, at)) != (i is not None, i or 0, at) for p in (at, at + 1)}
+        left = t if not gone else "\n".join(x for p, x in enumerate(own) if p not in gone)
+        seen.setdefault(i, []).append((left or "", len(own) if t is not None else 0, len(gone)))
+    out = {}
+    for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect():
+        out.setdefault(r.doc_id, []).append((r.text or "", r.n_lines, r.n_removed))
+    assert {i: sorted(x) for i, x in out.items()} == {i: sorted(x) for i, x in seen.items()}
+
+
 def test_substrings(docs, none):
     out = {r.doc_id: r for r in dedup_substrings(docs).collect()}
     split = {r.doc_id: r for r in dedup_substrings(docs, hot=1).collect()}  # every shared anchor goes window by window
