@@ -3,9 +3,10 @@
 Words are lower-cased and stripped of punctuation; numbers, names (capitalised inside a sentence) and units after a
 number become typed placeholders. Windows of `WINDOW` template words of the benchmark items are hash-joined with the
 same windows of the documents. A hit fixes an alignment of item and document: its words are compared as written,
-placeholders must carry equal types, and the values in the slots must map one to one, so that a question with other
-numbers or names is caught while an accidental pattern is not. A document is contaminated by an item if consistent
-alignments cover `COVERAGE` of its words, or `RUN` of them on end.
+placeholders must carry equal types, and within a run of places each item value must stand for one document value, so
+that a question with other numbers or names is caught; a slot out of line ends a run, and the places before and after it
+are judged as runs of their own. A document is contaminated by an item if consistent runs cover `COVERAGE` of its words,
+or one has `RUN` of them.
 
 The item index goes to the tasks in blocks of at most `most_index_bytes`; documents are read once for each block
 (one, unless the benchmark is very large), so no size of the benchmark is a limit.
@@ -159,26 +160,38 @@ class Index:
             longest = 0
             for shift, places in by_shift.items():
                 at = np.array(sorted(places))
-                if not consistent(self.codes[item][at], self.values[item][at], codes[at + shift], values[at + shift]):
-                    continue
-                covered |= places
-                longest = max(longest, *(len(r) for r in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1)))
+                for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
+                    for a, b in consistent(self.codes[item][run], self.values[item][run], codes[run + shift], values[run + shift]):
+                        longest = max(longest, b - a)
+                        if b - a >= min(WINDOW, len(self.codes[item])):
+                            covered.update(run[a:b].tolist())
             share = len(covered) / len(self.codes[item])
             if share >= COVERAGE or longest >= RUN:
                 out[item] = share
         return out
 
 
-def consistent(item_codes: np.ndarray, item_values: np.ndarray, doc_codes: np.ndarray, doc_values: np.ndarray) -> bool:
-    """Equal templates, and slots whose values map one to one."""
-    if not np.array_equal(item_codes, doc_codes):
-        return False
-    there: dict[tuple[int, int], int] = {}
-    back: dict[tuple[int, int], int] = {}
-    for kind, a, b in zip(item_codes.tolist(), item_values.tolist(), doc_values.tolist(), strict=True):
-        if kind <= 15 and (there.setdefault((kind, a), b) != b or back.setdefault((kind, b), a) != a):
-            return False
-    return True
+def consistent(item_codes: np.ndarray, item_values: np.ndarray, doc_codes: np.ndarray, doc_values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The longest stretches [from, to) of equal templates in which each slot value of the item has one value in the document."""
+    begin = 0
+    there: dict[tuple[int, int], tuple[int, int]] = {}  # value in the document, last place with another one
+    last: dict[tuple[int, int], int] = {}
+    for at, (kind, other, a, b) in enumerate(zip(item_codes.tolist(), doc_codes.tolist(), item_values.tolist(), doc_values.tolist(), strict=True)):
+        start = begin
+        if kind != other:
+            start = at + 1
+        elif kind <= 15:
+            value, before = there.get((kind, a), (b, -1))
+            if value != b:
+                before = last[kind, a]
+            there[kind, a], last[kind, a] = (b, before), at
+            start = max(begin, before + 1)
+        if start > begin:
+            if at > begin:
+                yield begin, at
+            begin = start
+    if len(item_codes) > begin:
+        yield begin, len(item_codes)
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, most_bytes: int) -> Iterator[list[tuple[int | None, str]]]:

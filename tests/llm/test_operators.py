@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from groundwork.llm import html_extract, url_filter
 from groundwork.llm.components import components
-from groundwork.llm.decontaminate import find_leaks
+from groundwork.llm.decontaminate import consistent, find_leaks
 from groundwork.llm.embedding_dedup import dedup_embeddings
 from groundwork.llm.html_extract import extract_pages
 from groundwork.llm.language_id import identify, learn
@@ -295,6 +295,17 @@ def test_leaks(spark):
     assert find_leaks(docs.where("false"), bench).count() == 0
 
 
+def test_leaks_by_runs(spark):
+    item = "A farmer named Holt sold 14 sacks of grain for 9 dollars each and then bought 14 new ropes for the barn."
+    plain = " ".join(words(20))
+    texts = [f"{plain} {item[::-1].replace('41', '51', 1)[::-1]} {plain}", f"{plain} {item.replace('14', '6').replace('9', '6')} {plain}", plain]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string")
+    assert {r.doc_id: r.contaminated for r in find_leaks(docs, bench).collect()} == {0: True, 1: True, 2: False}
+    values = [np.array(x, np.uint64) for x in ([100, 1, 200, 1, 1, 300], [0, 14, 0, 14, 14, 0], [0, 14, 0, 14, 15, 0])]
+    assert list(consistent(values[0], values[1], values[0], values[2])) == [(0, 4), (4, 6)]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=20).tolist(), i % 2) for i in range(60)]
