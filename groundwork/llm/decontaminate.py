@@ -1,8 +1,10 @@
 """Benchmark decontamination by template canonicalisation (operator 9).
 
-Words are lower-cased and stripped of punctuation; numbers, names (capitalised inside a sentence) and units after a
-number become typed placeholders. Windows of `WINDOW` template words of the benchmark items are hash-joined with the
-same windows of the documents. A hit fixes an alignment of item and document: its words are compared as written,
+Words are lower-cased and stripped of punctuation; numbers, names and units after a number become typed placeholders.
+Each text has three forms: names are the words capitalised inside a sentence, all capitalised words (a name that begins
+a sentence is one), or none (copies in other case). Windows of `WINDOW` template words of the benchmark items are
+hash-joined with the same windows of the same form of the documents; a window with fewer than `MIN_WORDS` words that are
+not placeholders is doubled until it has them, or is the item. A hit fixes an alignment of item and document: its words are compared as written,
 placeholders must carry equal types, and within a run of places each item value must stand for one document value, so
 that a question with other numbers or names is caught; a slot out of line ends a run, and the places before and after it
 are judged as runs of their own. A document is contaminated by an item if consistent runs cover `COVERAGE` of its words,
@@ -12,7 +14,7 @@ The item index goes to the tasks in blocks of at most `most_index_bytes`; docume
 (one, unless the benchmark is very large), so no size of the benchmark is a limit.
 
 Defined results: null and empty texts are not contaminated. Items with null or no text, or with fewer than
-`MIN_WORDS` words that are not placeholders, never match. Equal items are all listed. Every row gives one row,
+`MIN_WORDS` words that are not placeholders in a form, never match in it. Equal items are all listed. Every row gives one row,
 repeated rows included; extra columns are not read; empty tables give an empty or a clean result.
 """
 
@@ -82,17 +84,18 @@ def packed(word: str) -> int:
     return xxhash.xxh3_64_intdigest(lower) & ~15 | flags
 
 
-def template(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Template codes (a placeholder's small number or the word's hash) and word values. first: where a text begins."""
+def template(words: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Template codes of each form (a placeholder's small number or the word's hash) and word values. first: where a text begins."""
     flags, value = words & np.uint64(15), words & ~np.uint64(15)
     before = np.concatenate([[np.uint64(0)], flags[:-1]]) if len(words) else flags
     starts = first | (before & np.uint64(ENDS) > 0)
     number = flags & np.uint64(IS_NUM) > 0
     after_number = np.concatenate([[False], number[:-1]]) & ~first if len(words) else first
-    name = (flags & np.uint64(CAPITAL) > 0) & ~starts & ~number
+    name = (flags & np.uint64(CAPITAL) > 0) & ~number
     unit = (flags & np.uint64(IS_UNIT) > 0) & after_number
-    code = np.where(number, np.uint64(NUM), np.where(unit, np.uint64(UNIT), np.where(name, np.uint64(NAME), value)))
-    return code, value
+    blind = np.where(number, np.uint64(NUM), np.where(unit, np.uint64(UNIT), value))
+    named = name & ~unit
+    return [np.where(named & ~starts, np.uint64(NAME), blind), np.where(named, np.uint64(NAME), blind), blind], value
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -115,57 +118,66 @@ class Index:
     def __init__(self, items: list[tuple[int | None, str]]):
         words = Words()
         self.ids, self.codes, self.values = [], [], []
-        found: dict[int, list[tuple[int, int, int]]] = {}
+        found: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
         for item_id, text in items:
-            split = (text or "").split()
-            own = words.pack(split)
+            own = words.pack((text or "").split())
             codes, values = template(own, np.arange(len(own)) == 0)
-            if np.count_nonzero(codes > 15) < MIN_WORDS:
-                continue
-            size = min(WINDOW, len(codes))
-            literal = np.convolve(codes > 15, np.ones(size, int), "valid")
-            for at, h in enumerate(window_hashes(codes, size).tolist()):
-                if literal[at] >= min(MIN_WORDS, size):
-                    found.setdefault(size, []).append((h, len(self.ids), at))
-            self.ids.append(item_id)
-            self.codes.append(codes)
-            self.values.append(values)
+            used = [form for form in range(len(codes)) if np.count_nonzero(codes[form] > 15) >= MIN_WORDS]
+            for form in used:
+                self.add(found, form, codes[form])
+            if used:
+                self.ids.append(item_id)
+                self.codes.append(codes)
+                self.values.append(values)
         self.sizes = {}
-        for size, rows in found.items():
-            rows.sort()
+        for which, rows in found.items():
+            rows = sorted(rows)
             hashes = np.array([r[0] for r in rows], np.uint64)
             seen = np.zeros(1 << 20, bool)
             seen[(hashes >> np.uint64(44)).astype(np.int64)] = True
-            self.sizes[size] = (hashes, np.array([r[1:] for r in rows], np.int64), seen)
-
-    def hits(self, codes: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(position, item, item's position, size) of windows that begin in the codes; last: words left in the text."""
-        for size, (hashes, where, seen) in self.sizes.items():
-            own = window_hashes(codes, size)
+            self.sizes[which] = (hashes, np.array([r[1:] for r in rows], np.int64), seen)
+
+    def add(self, found: dict[tuple[int, int], set[tuple[int, int, int]]], form: int, codes: np.ndarray) -> None:
+        """Windows of the next item in a form, each doubled while it is sparse (the last ones end with the item)."""
+        size, n = min(WINDOW, len(codes)), len(codes)
+        todo = np.arange(n - size + 1)
+        while len(todo):
+            hashes = window_hashes(codes, size)
+            literal = np.convolve(codes > 15, np.ones(size, int), "valid")[todo]
+            for at in todo[literal >= MIN_WORDS].tolist():
+                found.setdefault((form, size), set()).add((int(hashes[at]), len(self.ids), at))
+            size = min(2 * size, n)
+            todo = np.unique(np.minimum(todo[literal < MIN_WORDS], n - size))
+
+    def hits(self, codes: list[np.ndarray], last: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(position, item, item's position, size, form) of windows that begin in the codes; last: words left in the text."""
+        for (form, size), (hashes, where, seen) in self.sizes.items():
+            own = window_hashes(codes[form], size)
             at = np.flatnonzero(seen[(own >> np.uint64(44)).astype(np.int64)])
             at = at[last[at] >= size]
             low, high = np.searchsorted(hashes, own[at]), np.searchsorted(hashes, own[at], side="right")
             for p, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
                 for item, start in where[a:b].tolist():
-                    yield p, item, start, size
+                    yield p, item, start, size, form
 
-    def matched(self, codes: np.ndarray, values: np.ndarray, hits: list[tuple[int, int, int, int]]) -> dict[int, float]:
+    def matched(self, codes: list[np.ndarray], values: np.ndarray, hits: list[tuple[int, int, int, int, int]]) -> dict[int, float]:
         """Items that contaminate a text, with their coverage."""
-        lines: dict[int, dict[int, set[int]]] = {}
-        for p, item, start, size in hits:
-            lines.setdefault(item, {}).setdefault(p - start, set()).update(range(start, start + size))
+        lines: dict[int, dict[tuple[int, int], set[int]]] = {}
+        for p, item, start, size, form in hits:
+            lines.setdefault(item, {}).setdefault((form, p - start), set()).update(range(start, start + size))
         out = {}
         for item, by_shift in lines.items():
+            n = len(self.values[item])
             covered: set[int] = set()
             longest = 0
-            for shift, places in by_shift.items():
+            for (form, shift), places in by_shift.items():
                 at = np.array(sorted(places))
                 for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
-                    for a, b in consistent(self.codes[item][run], self.values[item][run], codes[run + shift], values[run + shift]):
+                    for a, b in consistent(self.codes[item][form][run], self.values[item][run], codes[form][run + shift], values[run + shift]):
                         longest = max(longest, b - a)
-                        if b - a >= min(WINDOW, len(self.codes[item])):
+                        if b - a >= min(WINDOW, n):
                             covered.update(run[a:b].tolist())
-            share = len(covered) / len(self.codes[item])
+            share = len(covered) / n
             if share >= COVERAGE or longest >= RUN:
                 out[item] = share
         return out
@@ -244,9 +256,9 @@ def leaks(index: Index, memo: Words, texts: list[str]) -> dict[int, dict[int, fl
     owner = np.repeat(np.arange(len(rows)), sizes)
     place = np.arange(len(words)) - np.repeat(ends - sizes, sizes)
     codes, values = template(words, place == 0)
-    hits: dict[int, list[tuple[int, int, int, int]]] = {}
-    for p, item, start, size in index.hits(codes, np.repeat(ends, sizes) - np.arange(len(words))):
-        hits.setdefault(int(owner[p]), []).append((p, item, start, size))
+    hits: dict[int, list[tuple[int, int, int, int, int]]] = {}
+    for hit in index.hits(codes, np.repeat(ends, sizes) - np.arange(len(words))):
+        hits.setdefault(int(owner[hit[0]]), []).append(hit)
     out = {}
     for i, own in hits.items():
         if items := index.matched(codes, values, own):

@@ -306,6 +306,17 @@ def test_leaks_by_runs(spark):
     assert list(consistent(values[0], values[1], values[0], values[2])) == [(0, 4), (4, 6)]
 
 
+def test_leaks_with_names_and_case(spark):
+    short = "Tom has 5 apples. Tom eats 2 of them. Tom buys 4 more. How many apples now?"
+    names = "Yesterday Maria gave Peter some plums, Lena gave Otto bread, then Maria and Otto walked home with Lena."
+    dense = "Compute 3 + 4 - 5 + 6 - 7 + 8 and then 9 - 2 + 1 before rounding the sum."
+    plain = " ".join(words(20))
+    texts = [short.replace("Tom", "Ann"), names.lower(), names.upper(), dense.replace("4", "6"), plain]
+    docs = spark.createDataFrame([(i, f"{plain}. {t} {plain}") for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, short), (1, names), (3, dense)], "item_id long, text string")
+    assert {r.doc_id: r.item_ids for r in find_leaks(docs, bench).collect()} == {0: [0], 1: [1], 2: [1], 3: [3], 4: []}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=20).tolist(), i % 2) for i in range(60)]
