@@ -26,10 +26,12 @@ matter; an empty table gives an empty result. Texts are read whole, whatever the
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +42,13 @@ from pyspark.sql import functions as F
 from groundwork.llm.common import pieces_of, staged, table
 
 BLOCK_DOCS = 1 << 16  # documents have 16-bit numbers in their block
-BLOCK_ENTRIES = 4_000_000  # postings a task holds before it ends the block
+BLOCK_ENTRIES = 2_000_000  # postings a task holds before it ends the block
 BITMAP_BYTES = BLOCK_DOCS // 8
 SLICE_BYTES = 4 << 20
 MEMO_ENTRIES = 100_000  # chunks of each of the memo's two generations
 MEMO_CHARS = 64
 ROWS = 100_000
+GROUP_LINKS = 4096  # links of one group that are listed one by one
 # A blank after another character and before a visible one.
 CUT = re.compile(r"(?<=[^ ]) (?=\S)")
 # Blanks that don't stand before a visible character.
@@ -62,7 +65,10 @@ def byte_letters() -> dict[str, int]:
 
 
 class Aligner:
-    """One worker's tokenizers and its memo: chunk -> (A ids, B ids, groups, links, digest text, pairs, times), None if the bytes differ."""
+    """One worker's tokenizers and its memo: chunk -> (A ids, B ids, groups, links, digest text, pairs, times), None if the bytes differ.
+
+    A pair may stand in `pairs` several times; without `times` each stands for one link.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
@@ -78,6 +84,9 @@ class Aligner:
             self.a_bytes.append(bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode())
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
+        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.ids = [f"{i}{mark}" for mark in ",|;" for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
@@ -99,47 +108,66 @@ class Aligner:
             else:
                 new.append(c)
         if new:
-            encoded = self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)
-            for c, e, b in zip(new, encoded, self.b.encode(new, num_threads=1), strict=True):
-                own[c] = self.align((" " + c).encode(), e.ids, b)
+            encoded = [e.ids for e in self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)]
+            for c, record in zip(new, self.align(new, encoded, self.b.encode(new, num_threads=1)), strict=True):
+                own[c] = record
                 if len(c) <= MEMO_CHARS:
-                    self.young[c] = own[c]
+                    self.young[c] = record
         if len(self.young) > MEMO_ENTRIES:  # chunks in use come back from the older half
             self.old, self.young = self.young, {}
         return own
 
-    def align(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        """Groups between common ends of both id lists, and their links by pair; None when the bytes differ."""
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        if b"".join([a_bytes[i] for i in a]) != raw or b"".join([b_bytes[i] for i in b]) != raw:
-            return None
-        groups, n_links = [], 0
+    def align(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> list[tuple | None]:
+        """The records of new chunks. Their tokens are laid end to end, so that all are aligned at once."""
+        raw = [(" " + c).encode() for c in chunks]
+        same = [b"".join([self.a_bytes[i] for i in x]) == r == b"".join([self.b_bytes[i] for i in y]) for r, x, y in zip(raw, a, b, strict=True)]
+        good = [k for k, ok in enumerate(same) if ok]
+        out: list[tuple | None] = [None] * len(chunks)
+        if not good:
+            return out
+        n_a, n_b = (np.fromiter((len(x[k]) for k in good), np.int64, len(good)) for x in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x[k] for k in good), np.int64) for x in (a, b))
+        end_a, end_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
+        last_a, last_b = np.isin(end_a, end_b, assume_unique=True), np.isin(end_b, end_a, assume_unique=True)
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
+        links = in_a * in_b
+        chunk_of = np.repeat(np.arange(len(good)), n_a)[last_a]  # of each group
+        groups = np.bincount(chunk_of, minlength=len(good))
+        n_links = np.diff(np.cumsum(links)[np.cumsum(groups) - 1], prepend=0)
+        # digest texts: ids in order with the mark that follows each
+        width = len(self.ids) // 3
+        sides = [(ids_a, np.where(last_a, width, 0), group_a * 2), (ids_b, np.where(last_b, 2 * width, 0), group_b * 2 + 1)]
+        order = np.argsort(np.concatenate([x[2] for x in sides]), kind="stable")
+        marked = np.concatenate([ids + mark for ids, mark, _ in sides])[order].tolist()
+        told = list(map(self.ids.__getitem__, marked))
+        ends = np.cumsum(n_a + n_b).tolist()
+        # links one by one, but for groups with very many
+        few = np.minimum(links, 1) * (links <= GROUP_LINKS)
+        times = in_b[group_a] * few[group_a]
+        first_b = np.cumsum(in_b) - in_b
+        at = np.repeat(first_b[group_a] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+        pairs = (np.repeat(ids_a, times) << 16 | ids_b[at]).astype(np.uint32).tobytes()
+        pair_ends = (4 * np.cumsum(np.bincount(chunk_of, weights=links * few, minlength=len(good)).astype(np.int64))).tolist()
+        start = pair_start = 0
+        for k, na, nb, ng, nl, end, pair_end in zip(good, n_a.tolist(), n_b.tolist(), groups.tolist(), n_links.tolist(), ends, pair_ends, strict=True):
+            out[k] = (na, nb, ng, nl, "".join(told[start:end])[:-1], pairs[pair_start:pair_end], b"")
+            start, pair_start = end, pair_end
+        for k in dict.fromkeys(chunk_of[links > GROUP_LINKS].tolist()):
+            mine = np.flatnonzero(chunk_of == k)
+            out[good[k]] = (*out[good[k]][:5], *self.tallied([(ids_a[group_a == g], ids_b[group_b == g]) for g in mine]))
+        return out
+
+    @staticmethod
+    def tallied(groups: list[tuple[np.ndarray, np.ndarray]]) -> tuple[bytes, bytes]:
+        """Pairs and times of groups by their distinct ids, without a list of all links."""
         links: Counter[int] = Counter()
-        i = j = first = second = 0
-        end_a, end_b = len(a_bytes[a[0]]), len(b_bytes[b[0]])
-        while True:
-            if end_a == end_b:
-                own, other = a[first : i + 1], b[second : j + 1]
-                groups.append(f"{','.join(map(str, own))}|{','.join(map(str, other))}")
-                n_links += len(own) * len(other)
-                times = Counter(other)  # a group's links by distinct ids: no list of all occurrences
-                for x, n in Counter(own).items():
-                    for y, m in times.items():
-                        links[x << 16 | y] += n * m
-                i, j = i + 1, j + 1
-                first, second = i, j
-                if i == len(a):
-                    break
-                end_a, end_b = end_a + len(a_bytes[a[i]]), end_b + len(b_bytes[b[j]])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(a_bytes[a[i]])
-            else:
-                j += 1
-                end_b += len(b_bytes[b[j]])
-        pairs = np.fromiter(links.keys(), np.uint32, len(links)).tobytes()
-        times = np.fromiter(links.values(), np.int64, len(links)).tobytes()
-        return len(a), len(b), len(groups), n_links, ";".join(groups), pairs, times
+        for own, other in groups:
+            times = Counter(other.tolist())
+            for x, n in Counter(own.tolist()).items():
+                for y, m in times.items():
+                    links[x << 16 | y] += n * m
+        return np.fromiter(links.keys(), np.uint32, len(links)).tobytes(), np.fromiter(links.values(), np.int64, len(links)).tobytes()
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
@@ -157,24 +185,28 @@ def runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def postings(number: np.ndarray, records: list[dict], lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pair, document's number, multiplicity) of a slice of texts, each pair and document once."""
-    place = {c: k for k, c in enumerate(records)}
-    pair = np.frombuffer(b"".join(r[5] for r in records.values()), np.uint32)
-    times = np.frombuffer(b"".join(r[6] for r in records.values()), np.int64)
-    sizes = np.fromiter((len(r[5]) // 4 for r in records.values()), np.int64, len(records))
-    starts = np.cumsum(sizes) - sizes
-    flat = np.fromiter((place[c] for own in lists for c in own), np.int64)
-    docs = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+def postings(number: np.ndarray, records: list[tuple], flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, document's number, multiplicity) of a slice of texts, each pair and document once.
+
+    `flat` are the record numbers of the documents' chunks, `sizes` how many each document has.
+    """
+    pair = np.frombuffer(b"".join(r[5] for r in records), np.uint32)
+    n_pairs = np.fromiter((len(r[5]) // 4 for r in records), np.int64, len(records))
+    starts = np.cumsum(n_pairs) - n_pairs
+    times = np.ones(len(pair), np.int64)
+    for k, r in enumerate(records):
+        if r[6]:
+            times[starts[k] : starts[k] + n_pairs[k]] = np.frombuffer(r[6], np.int64)
+    docs = np.repeat(np.arange(len(sizes)), sizes)
     key = np.sort(docs * len(records) + flat)  # each distinct chunk of a document once, with its times
     at = runs(key)
     often = np.diff(np.append(at, len(key)))
     docs, flat = np.divmod(key[at], max(len(records), 1))
-    n = sizes[flat]
+    n = n_pairs[flat]
     index = np.repeat(starts[flat] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     joined = np.repeat(docs, n) << 32 | pair[index].astype(np.int64)
     weight = times[index] * np.repeat(often, n)
-    order = np.argsort(joined, kind="stable")
+    order = np.argsort(joined)
     joined, weight = joined[order], weight[order]
     at = runs(joined)
     if len(at):
@@ -205,7 +237,7 @@ def plane_rows(pair: np.ndarray, number: np.ndarray, plane: int) -> Iterator[tup
 
 def containers(pair: np.ndarray, number: np.ndarray, times: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
     """The compressed bitmaps of a block: all its slices' postings OR-merged, plane by plane."""
-    order = np.argsort(pair, kind="stable")  # numbers rise from slice to slice, so they stay sorted in each pair
+    order = np.argsort(pair.astype(np.int64) << 16 | number)
     pair, number, rest = pair[order], number[order], times[order] - 1
     yield from plane_rows(pair, number, 0)
     plane = 1
@@ -223,6 +255,13 @@ def index_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "do
     """The stored index: rows of documents (pair null) with their block and number, and the bitmaps of their blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of small objects without cycles: looking through them costs a third of the time
+        try:
+            yield from aligned(batches)
+        finally:
+            gc.enable()
+
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, part = aligner(a_path, b_path), TaskContext.get().partitionId()
         blocks = docs_in = entries = 0
         kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -244,24 +283,29 @@ def index_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "do
                         kept, docs_in, entries, blocks = [], 0, 0, blocks + 1
                     texts = [v.as_py() for v in own.column(1)]
                     lists = [both.chunks(t) if t else [] for t in texts]
-                    records = both.learn(lists)
-                    rows = []
-                    for k, parts in enumerate(lists):
-                        found = [records[c] for c in parts]
-                        if not found or None in found:
-                            rows.append((0, 0, 0, 0, ""))
-                            lists[k] = []
-                            continue
-                        n_a, n_b, n_groups, n_links, text = zip(*[r[:5] for r in found], strict=True)
-                        rows.append((sum(n_a), sum(n_b), sum(n_groups), sum(n_links), hashlib.sha256(";".join(text).encode()).hexdigest()))
+                    found = both.learn(lists)
+                    bad = {c for c, r in found.items() if r is None}
+                    if bad:
+                        lists = [[] if not bad.isdisjoint(x) else x for x in lists]
+                    place = {c: k for k, c in enumerate(c for c in found if c not in bad)}
+                    records = [found[c] for c in place]
+                    told = [r[4] for r in records]
+                    lists = [list(map(place.__getitem__, x)) for x in lists]
+                    digests = [hashlib.sha256(";".join([told[k] for k in x]).encode()).hexdigest() if x else "" for x in lists]
+                    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+                    flat = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
+                    ends = np.append(0, np.cumsum(sizes))
+                    digits = []
+                    for column in list(zip(*(r[:4] for r in records), strict=True)) or [()] * 4:
+                        sums = np.append(0, np.cumsum(np.array(column, np.int64)[flat]))
+                        digits.append(pa.array(sums[ends[1:]] - sums[ends[:-1]]))
                     n = own.num_rows
                     number = np.arange(docs_in, docs_in + n)
-                    found = postings(number, {c: r for c, r in records.items() if r is not None}, lists)
-                    kept.append((found[0], found[1].astype(np.uint16), found[2]))
-                    entries, docs_in = entries + len(found[0]), docs_in + n
-                    digits = [pa.array(x, pa.int64()) for x in list(zip(*rows, strict=True))[:4]]
+                    pair, held, times = postings(number, records, flat, sizes)
+                    kept.append((pair, held.astype(np.uint16), times))
+                    entries, docs_in = entries + len(pair), docs_in + n
                     yield pa.RecordBatch.from_arrays(
-                        [own.column(0), pa.array(np.full(n, part << 32 | blocks)), pa.array(number, pa.int32()), *digits, pa.array([r[4] for r in rows], pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                        [own.column(0), pa.array(np.full(n, part << 32 | blocks)), pa.array(number, pa.int32()), *digits, pa.array(digests, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                         names=names,
                     )
         yield from close()

@@ -166,6 +166,7 @@ def test_alignment_against_brute_force(spark, entries, monkeypatch):
     """With one block a task, and with blocks that end every few documents."""
     monkeypatch.setattr(token_alignment, "BLOCK_ENTRIES", entries)
     monkeypatch.setattr(token_alignment, "SLICE_BYTES", 4 << 20 if entries > 300 else 2000)
+    monkeypatch.setattr(token_alignment, "GROUP_LINKS", 4096 if entries > 300 else 3)
     rows = alignment_rows()
     want, held, links = align_brute(rows)
     got = {r.doc_id: tuple(r)[1:] for r in align_documents(frame(spark, rows), A, B).collect()}
