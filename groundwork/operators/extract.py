@@ -146,33 +146,40 @@ def service_lines(raw: DataFrame) -> DataFrame:
     ).select("work_order_id", "s.*")
 
 
-def services_nested(raw: DataFrame) -> DataFrame:
-    """Nested form: services ARRAY<STRUCT>, NULL when no line exists."""
-    arr = service_array()
-    return raw.select("work_order_id", F.when(F.size(arr) > 0, arr).alias("services"))
-
-
 # ---- JSON answers (H7, H9, D20, B13) -------------------------------------
 
 SERVICE_JSON = T.StructType([
-    T.StructField("service_type", T.StringType()),
-    T.StructField("date", T.StringType()),
-    T.StructField("quantity", T.StringType()),
-    T.StructField("hours", T.StringType()),
+    T.StructField("service_type", T.VariantType()),
+    T.StructField("date", T.VariantType()),
+    T.StructField("quantity", T.VariantType()),
+    T.StructField("hours", T.VariantType()),
 ])
 
+# Values keep the type they have in the answer, so that a number 0 is not the text "0".
 ANSWER_JSON = T.StructType([
-    T.StructField("work_order_number", T.StringType()),
-    T.StructField("builder_name", T.StringType()),
-    T.StructField("project_name", T.StringType()),
-    T.StructField("month", T.StringType()),
-    T.StructField("year", T.StringType()),
-    T.StructField("company_name", T.StringType()),
-    T.StructField("description", T.StringType()),
+    T.StructField("work_order_number", T.VariantType()),
+    T.StructField("builder_name", T.VariantType()),
+    T.StructField("project_name", T.VariantType()),
+    T.StructField("month", T.VariantType()),
+    T.StructField("year", T.VariantType()),
+    T.StructField("company_name", T.VariantType()),
+    T.StructField("description", T.VariantType()),
     T.StructField("services", T.ArrayType(SERVICE_JSON)),
 ])
 
 
+def text_of(value) -> Column:
+    """The text of a JSON value: strings as they are, numbers and booleans as written, null and nothing as NULL."""
+    return F.try_variant_get(as_col(value), "$", "string")
+
+
+def filled(value) -> Column:
+    """Whether a JSON value counts as filled: not absent, null, '', a zero of any type, false, [] or {}."""
+    v = as_col(value)
+    empty = F.to_json(v).isin('""', "null", "false", "[]", "{}") | (~F.schema_of_variant(v).isin("STRING", "BOOLEAN") & (F.try_variant_get(v, "$", "double") == 0))
+    return F.coalesce(v.isNotNull() & ~F.coalesce(empty, F.lit(False)), F.lit(False))
+
+
 def strip_fence(text) -> Column:
     """Strip, drop a leading ```json and a trailing ``` fence, strip again."""
     t = _strip(as_col(text))
@@ -182,30 +189,40 @@ def strip_fence(text) -> Column:
 
 
 def parse_json(df: DataFrame, text_col: str = "answer_text") -> DataFrame:
-    """Adds `answer` (struct) and `is_valid`; an unparsable answer is a reject.
+    """Adds `answer` (typed struct), `is_valid`, `reject_reason` and `corrupt_record`.
 
-    Validity is "the cleaned text is a JSON object": `json_object_keys`
-    returns NULL for anything else.
+    The whole cleaned text must be one JSON object: cut-short JSON, other values, several objects and trailing text are
+    rejects, with the answer's text in `corrupt_record` and no `answer`. Fields of another shape are NULL.
     """
     cleaned = strip_fence(F.col(text_col))
+    # a text that is one value stays one element of an array around it; anything after the value breaks the array
+    one = F.json_array_length(F.concat(F.lit("["), F.col("_clean"), F.lit("]"))) == 1
+    is_object = F.col("_clean").startswith("{") & F.json_object_keys("_clean").isNotNull()
+    reason = (
+        F.when(F.col(text_col).isNull(), F.lit("no answer"))
+        .when(F.col("_clean") == "", F.lit("empty answer"))
+        .when(~F.coalesce(one & is_object, F.lit(False)), F.lit("not one JSON object"))
+    )
     return (
         df.withColumn("_clean", cleaned)
-        .withColumn("is_valid", F.json_object_keys("_clean").isNotNull())
+        .withColumn("reject_reason", reason)
+        .withColumn("is_valid", F.col("reject_reason").isNull())
         .withColumn("answer", F.when(F.col("is_valid"), F.from_json("_clean", ANSWER_JSON)))
+        .withColumn("corrupt_record", F.when(~F.col("is_valid"), F.col(text_col)))
         .drop("_clean")
     )
 
 
 def normalize_services(services) -> Column:
     """Keep services with a truthy type; parse date, quantity and hours (zero default)."""
-    kept = F.filter(as_col(services), lambda s: s["service_type"].isNotNull() & (s["service_type"] != ""))
+    kept = F.filter(as_col(services), lambda s: filled(s["service_type"]))
     return F.transform(
         kept,
         lambda s: F.struct(
-            s["service_type"].alias("service_type"),
-            clean.date_multi(s["date"]).alias("date"),
-            clean.float_or_zero(s["quantity"]).alias("quantity"),
-            clean.float_or_zero(s["hours"]).alias("hours"),
+            text_of(s["service_type"]).alias("service_type"),
+            clean.date_multi(text_of(s["date"])).alias("date"),
+            clean.float_or_zero(text_of(s["quantity"])).alias("quantity"),
+            clean.float_or_zero(text_of(s["hours"])).alias("hours"),
         ),
     )
 
@@ -217,13 +234,9 @@ QUALITY_FIELDS = ["work_order_number", "builder_name", "project_name", "month",
 def extraction_score(answer) -> Column:
     """filled/7 over truthy fields + min(#services/4, 1) * 0.2, capped at 1."""
     a = as_col(answer)
-    filled = None
-    for name in QUALITY_FIELDS:
-        v = a[name]
-        term = F.when(v.isNotNull() & (v != ""), 1).otherwise(0)
-        filled = term if filled is None else filled + term
+    n_filled = sum((filled(a[name]).cast("int") for name in QUALITY_FIELDS), F.lit(0))
     n_svc = F.coalesce(F.size(a["services"]), F.lit(0)).cast("double")
-    base = filled.cast("double") / F.lit(7.0)
+    base = n_filled.cast("double") / F.lit(7.0)
     bonus = F.least(n_svc / F.lit(4.0), F.lit(1.0)) * F.lit(0.2)
     return F.least(base + bonus, F.lit(1.0))
 
@@ -231,10 +244,7 @@ def extraction_score(answer) -> Column:
 def missing_fields(answer, names=("work_order_number", "builder_name", "project_name")) -> Column:
     """Names of required fields that are absent or empty."""
     a = as_col(answer)
-    return F.filter(
-        F.array(*[F.when(a[n].isNull() | (a[n] == ""), F.lit(n)) for n in names]),
-        lambda x: x.isNotNull(),
-    )
+    return F.filter(F.array(*[F.when(~filled(a[n]), F.lit(n)) for n in names]), lambda x: x.isNotNull())
 
 
 # ---- model hook (J1) -----------------------------------------------------

@@ -38,6 +38,18 @@ def newer_than(src: DataFrame, target: DataFrame | None, col: str, bootstrap: bo
     return src.crossJoin(hwm).filter(cond).drop("_hwm")
 
 
+def newest(df: DataFrame, key: str, order_col: str, ties: list[str] | None = None) -> DataFrame:
+    """One whole row per key: the last by `order_col`, then by `ties` (all other columns unless given).
+
+    A map-side combined maximum, so a key with very many versions is reduced before the shuffle. Rows without a key
+    are versions of one row. Without `order_col` (NULL) a row is older than any with it.
+    """
+    rest = [c for c in df.columns if c not in (key, order_col)] if ties is None else ties
+    whole = F.struct(*df.columns)
+    best = df.groupBy(key).agg(F.max_by(whole, F.struct(order_col, *rest)).alias("_row"))
+    return best.select(*[F.col("_row")[c].alias(c) for c in df.columns])
+
+
 def upsert(target: DataFrame | None, new: DataFrame, key: str, order_col: str,
            ties: list[str] | None = None) -> DataFrame:
     """A8 + G1: new rows replace same-key target rows; others are appended.
@@ -47,8 +59,7 @@ def upsert(target: DataFrame | None, new: DataFrame, key: str, order_col: str,
     unless given), so the result does not depend on the order of rows. Columns
     that only one side has are kept, NULL in the other's rows.
     """
-    rest = [c for c in new.columns if c not in (key, order_col)] if ties is None else ties
-    fresh = latest(new, key, [order_col, *rest])
+    fresh = newest(new, key, order_col, ties)
     if target is None:
         return fresh
     kept = target.join(fresh.select(key), key, "left_anti")
@@ -64,15 +75,18 @@ def update_column(target: DataFrame, src: DataFrame, key: str, cols: list[str],
                   order_col: str | None = None) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE SET cols, as one left join.
 
-    The source is reduced to one row per key: the last by `order_col`, then by
-    the values, always whole. A match sets its values, NULL included; unmatched
-    target rows keep theirs (NULL for a new column).
+    The source is reduced to one row per key: the last by `order_col`, then by the values, always whole. Without
+    `order_col` no row is the last one, so a key that comes twice fails the job. A match sets its values, NULL
+    included; unmatched target rows keep theirs (NULL for a new column).
     """
     t = target
     for c in cols:
         t = ensure_column(t, c, dict(src.dtypes)[c])
-    rank = F.struct(*([order_col] if order_col else []), *cols)
-    s = src.groupBy(key).agg(F.max_by(F.struct(*cols), rank).alias("_src"))
+    if order_col:
+        s = src.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(order_col, *cols)).alias("_src"))
+    else:
+        once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"{key} comes twice and there is no order column")).cast("boolean"))
+        s = src.groupBy(key).agg(F.any_value(F.struct(*cols)).alias("_src"), once.alias("_once")).where(F.col("_once").isNull()).drop("_once")
     j = t.join(s, key, "left")
     out = [F.when(F.col("_src").isNotNull(), F.col("_src")[c]).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in t.columns]
     return j.select(*out)

@@ -7,7 +7,7 @@ distinct names rather than the number of work orders.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundwork.functions import clean
@@ -40,59 +40,53 @@ def apply_dictionary(df: DataFrame, name_col: str, dictionary: DataFrame,
     )
 
 
-def _segment_bounds(length, d: int, i: int):
-    """Start (0-based) and length of segment i when a string of `length` is cut into d+1 parts."""
-    base = F.floor(length / (d + 1)).cast("int")
-    extra = (length % (d + 1)).cast("int")
-    short = (d + 1) - extra  # the first `short` segments have `base` chars
-    seg_len = F.when(F.lit(i) < short, base).otherwise(base + 1)
-    start = F.lit(i) * base + F.greatest(F.lit(0), F.lit(i) - short)
-    return start, seg_len
+def without_one(texts) -> Column:
+    """array<string> -> the same texts and each of them without one character, all distinct."""
+    def shorter(t: Column) -> Column:
+        n = F.length(t)
+        cut = lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, n))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), cut)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(texts, F.flatten(F.transform(texts, shorter))))
+
+
+def neighbourhood(keys: DataFrame, col: str, dist: int) -> DataFrame:
+    """(col, rest): every key with the hash of each text left after deleting up to `dist` of its characters."""
+    texts = F.array(F.col(col))
+    for _ in range(dist):
+        texts = without_one(texts)
+    return keys.select(col, F.explode(F.transform(texts, lambda t: F.xxhash64(t))).alias("rest"))
+
+
+def neighbours(names: DataFrame, dict_keys: DataFrame, dist: int) -> DataFrame:
+    """Pairs (_nkey, _dkey) that may be within `dist` edits: none that is, is left out.
+
+    Two texts within `dist` edits leave the same text once up to `dist` characters are deleted from each, so the
+    deletion neighbourhoods of both sides meet in an equi-join on that text (by hash). A pair that meets shares all but
+    a few characters, whatever prefix the names have in common; a name has at most about length^dist / dist! texts.
+    """
+    left, right = neighbourhood(names, "_nkey", dist), neighbourhood(dict_keys, "_dkey", dist)
+    return left.join(right, "rest").select("_nkey", "_dkey").distinct()
 
 
 def fuzzy_candidates(names: DataFrame, dict_keys: DataFrame, max_dist: int) -> DataFrame:
-    """(name_key, dict_key, dist) for every pair within `max_dist` edits.
+    """(_nkey, _dkey, dist) for every pair within `max_dist` edits."""
+    pairs = neighbours(names, dict_keys, max_dist)
+    return pairs.withColumn("dist", F.levenshtein("_nkey", "_dkey", max_dist)).filter(F.col("dist") >= 0)
+
 
-    Partition-based filtering: cut each dictionary key into max_dist+1
-    segments; any key within max_dist edits shares one segment verbatim, at a
-    position shifted by at most max_dist.  That makes candidate generation an
-    equi-join on (length, segment no, segment text) with no false negatives,
-    then the exact distance is checked.  No cross join.
+def fuzzy_nearest(names: DataFrame, dict_keys: DataFrame, max_dist: int) -> DataFrame:
+    """(_nkey, _dkey): the nearest dictionary key within `max_dist` edits of each name (ties: the smaller key).
+
+    Distances are searched from 1 up, each among the names that no smaller one answered, so the larger neighbourhoods
+    are made for the few names that need them.
     """
-    d = max_dist
-    dk = dict_keys.select(F.col("_dkey"), F.length("_dkey").alias("L"))
-    segs = []
-    for i in range(d + 1):
-        start, seg_len = _segment_bounds(F.col("L"), d, i)
-        segs.append(F.struct(F.lit(i).alias("i"), F.substring("_dkey", start + 1, seg_len).alias("seg")))
-    dseg = dk.select("_dkey", "L", F.explode(F.array(*segs)).alias("x")).select(
-        "_dkey", "L", F.col("x.i").alias("i"), F.col("x.seg").alias("seg")
-    )
-    q = names.select(F.col("_nkey"), F.length("_nkey").alias("Ls"))
-    # every (L, i, shift) the probe name has to try
-    probes = []
-    for L_off in range(-d, d + 1):
-        for i in range(d + 1):
-            for sh in range(-d, d + 1):
-                probes.append(F.struct(F.lit(L_off).alias("lo"), F.lit(i).alias("i"), F.lit(sh).alias("sh")))
-    qp = q.select("_nkey", "Ls", F.explode(F.array(*probes)).alias("p")).select(
-        "_nkey", "Ls", (F.col("Ls") + F.col("p.lo")).alias("L"), F.col("p.i").alias("i"), F.col("p.sh").alias("sh")
-    ).filter(F.col("L") >= 1)
-    cols = []
-    for i in range(d + 1):
-        start, seg_len = _segment_bounds(F.col("L"), d, i)
-        cols.append((i, start, seg_len))
-    start = F.lit(None).cast("int")
-    seg_len = F.lit(None).cast("int")
-    for i, s, ln in cols:
-        start = F.when(F.col("i") == i, s).otherwise(start)
-        seg_len = F.when(F.col("i") == i, ln).otherwise(seg_len)
-    qp = qp.withColumn("pos", start + F.col("sh")).withColumn("sl", seg_len)
-    qp = qp.filter((F.col("pos") >= 0) & (F.col("pos") + F.col("sl") <= F.col("Ls")))
-    qp = qp.select("_nkey", "L", "i", F.substring("_nkey", F.col("pos") + 1, F.col("sl")).alias("seg"))
-    pairs = qp.join(dseg, ["L", "i", "seg"]).select("_nkey", "_dkey").distinct()
-    dist = F.levenshtein("_nkey", "_dkey", d)
-    return pairs.withColumn("dist", dist).filter(F.col("dist") >= 0)
+    todo, found = names, None
+    for dist in range(1, max_dist + 1):
+        pairs = fuzzy_candidates(todo, dict_keys, dist)  # none below `dist` is left
+        best = pairs.groupBy("_nkey").agg(F.min("_dkey").alias("_dkey"))
+        found = best if found is None else found.unionByName(best)
+        todo = todo.join(best, "_nkey", "left_anti")
+    return found
 
 
 def fuzzy_match(df: DataFrame, name_col: str, dictionary: DataFrame, max_dist: int = 2,
@@ -106,9 +100,9 @@ def fuzzy_match(df: DataFrame, name_col: str, dictionary: DataFrame, max_dist: i
     names = keyed.select("_nkey").filter(F.col("_nkey") != NA).distinct()
     exact = names.join(dkeys.select("_dkey"), names._nkey == dkeys._dkey, "left_semi")
     todo = names.join(dkeys.select("_dkey"), names._nkey == dkeys._dkey, "left_anti")
-    cand = fuzzy_candidates(todo, dkeys.select("_dkey"), max_dist)
-    best = cand.groupBy("_nkey").agg(F.min_by("_dkey", F.struct("dist", "_dkey")).alias("_dkey"))
-    matched = exact.select("_nkey", F.col("_nkey").alias("_dkey")).unionByName(best)
+    matched = exact.select("_nkey", F.col("_nkey").alias("_dkey"))
+    if max_dist > 0:
+        matched = matched.unionByName(fuzzy_nearest(todo, dkeys.select("_dkey"), max_dist))
     answer = matched.join(dkeys.select("_dkey", "corrected_name"), "_dkey").select("_nkey", "corrected_name")
     # the answer is one row per distinct name; AQE broadcasts it when it is small at run time
     out = keyed.join(answer, "_nkey", "left")

@@ -12,9 +12,11 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from groundwork.functions import clean
+
 RESULT_COLS = ["model", "check_name", "severity", "failures", "passed"]
 
 
@@ -105,20 +107,16 @@ def run_suite(tables: dict[str, DataFrame], suite: dict[str, list[Check]]) -> Da
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-MONTH_VALUES = ("JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE",
-                "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER")
-
-
 def nn(col, sev="warn"):
     return Check("not_null", col, severity=sev)
 
 
-# The 40 declared data tests (staging at severity error, marts warn).
+# The 40 declared data tests (staging at severity error, marts warn).
 DEFAULT_SUITE: dict[str, list[Check]] = {
     "stg_work_orders": [
         Check("unique", "work_order_id", severity="error"), nn("work_order_id", "error"),
         nn("work_order_number", "error"), nn("builder_name", "error"), nn("project_name", "error"),
-        nn("month", "error"), Check("accepted_values", "month", values=MONTH_VALUES, severity="error"),
+        nn("month", "error"), Check("accepted_values", "month", values=tuple(clean.MONTHS), severity="error"),
         nn("year", "error"), Check("accepted_range", "year", min_value=2000, max_value=2030, severity="error"),
         nn("work_date", "error"), nn("data_completeness_score", "error"),
         Check("accepted_range", "data_completeness_score", min_value=0, max_value=1, severity="error"),
@@ -144,6 +142,65 @@ DEFAULT_SUITE: dict[str, list[Check]] = {
 }
 
 
+# ---- schema contract (K7), column difference (G3) ----------------------------
+
+@dataclass(frozen=True)
+class Field:
+    """A declared column: STRING, INTEGER, FLOAT or TIMESTAMP; required columns have no NULL."""
+
+    name: str
+    kind: str
+    required: bool = False
+
+
+# Spark types that fulfil a declared one.
+KINDS = {
+    "STRING": {"string"},
+    "INTEGER": {"int", "bigint"},
+    "FLOAT": {"double", "float"},
+    "TIMESTAMP": {"timestamp", "timestamp_ntz"},
+}
+
+# The declared columns of the raw table.
+RAW_CONTRACT = (
+    Field("work_order_id", "STRING", required=True), Field("work_order_number", "STRING"),
+    Field("builder_name", "STRING"), Field("project_name", "STRING"), Field("month", "STRING"),
+    Field("year", "INTEGER"), Field("company_name", "STRING"), Field("description", "STRING"),
+    Field("file_url", "STRING"), Field("extracted_at", "TIMESTAMP", required=True),
+    *(f for k in range(1, 5) for f in (
+        Field(f"service{k}", "STRING"),
+        *(g for i in (2 * k - 1, 2 * k) for g in (Field(f"d{i}", "STRING"), Field(f"q{i}", "FLOAT"), Field(f"h{i}", "FLOAT"))))),
+)
+
+
+def missing_columns(df: DataFrame, contract: tuple[Field, ...]) -> list[str]:
+    """Declared columns that the table lacks, in declared order (metadata only)."""
+    return [f.name for f in contract if f.name not in df.columns]
+
+
+def schema_contract(df: DataFrame, model: str, contract: tuple[Field, ...], severity: str = "error") -> DataFrame:
+    """K7 + G3 as check rows: each declared column is present, has its type, and holds no NULL where required.
+
+    Presence and types come from the table's metadata and read nothing. A column that is missing fails its presence
+    check and, if required, its NULL check for every row; it has no type check. The NULL counts of all required
+    columns are one aggregate over those columns alone. Columns beyond the declared ones are allowed.
+    """
+    held = dict(df.dtypes)
+    facts = []
+    for f in contract:
+        facts.append((f"column_present({f.name})", 0 if f.name in held else 1))
+        if f.name in held:
+            facts.append((f"column_type({f.name})", 0 if held[f.name] in KINDS[f.kind] else 1))
+    known = df.sparkSession.createDataFrame(facts, "check_name string, failures bigint").select(
+        F.lit(model).alias("model"), "check_name", F.lit(severity).alias("severity"), "failures")
+    known = known.withColumn("passed", F.col("failures") == 0)
+    required = [f.name for f in contract if f.required]
+    if not required:
+        return known
+    whole = df.select(*[F.col(n) if n in held else F.lit(None).cast("string").alias(n) for n in required])
+    return known.unionByName(row_checks(whole, model, [nn(n, severity) for n in required]))
+
+
 # ---- pipeline gate (K8, D21), thresholds (K9) -------------------------------
 
 def pipeline_checks(raw: DataFrame, fct: DataFrame, with_ml: DataFrame, min_avg: float = 0.8) -> DataFrame:
@@ -191,30 +248,26 @@ def gate(results: DataFrame) -> None:
 
 # ---- table status, reconciliation, coverage (D13-D15, K10) ------------------
 
-def table_status(tables: dict[str, DataFrame | None]) -> DataFrame:
-    """Row count per table; LIVE, EMPTY or MISSING."""
-    spark = next(df for df in tables.values() if df is not None).sparkSession
-    parts = []
-    for name, df in tables.items():
-        if df is None:
-            parts.append(spark.range(1).select(F.lit(name).alias("table_name"),
-                                               F.lit(None).cast("bigint").alias("row_count")))
-        else:
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("table_name"), "row_count"))
-    u = reduce(lambda a, b: a.unionByName(b), parts)
-    return u.withColumn("status", F.when(F.col("row_count").isNull(), "MISSING")
-                        .when(F.col("row_count") == 0, "EMPTY").otherwise("LIVE"))
-
-
-def reconcile(raw: DataFrame, corrected: DataFrame, with_ml: DataFrame) -> DataFrame:
-    """raw = corrected = categorized row counts, all > 0 (1x1 cross joins)."""
-    r = raw.agg(F.count(F.lit(1)).alias("raw_count"))
-    c = corrected.agg(F.count(F.lit(1)).alias("corrected_count"))
-    m = with_ml.agg(F.count(F.lit(1)).alias("categorized_count"))
-    j = r.crossJoin(c).crossJoin(m)
-    return j.withColumn("counts_match", (F.col("raw_count") == F.col("corrected_count")) &
-                        (F.col("corrected_count") == F.col("categorized_count")) & (F.col("raw_count") > 0))
+def table_status(spark: SparkSession, counts: dict[str, int | None]) -> DataFrame:
+    """Row count per table; LIVE, EMPTY or MISSING (None).
+
+    The counts were gathered while the tables were written (`plans.pipeline`), so nothing is read here.
+    """
+    rows = spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+    return rows.withColumn("status", F.when(F.col("row_count").isNull(), "MISSING")
+                           .when(F.col("row_count") == 0, "EMPTY").otherwise("LIVE"))
+
+
+def stored_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a stored table that was written without counting: Parquet footers only, no column."""
+    return spark.read.parquet(path).count()
+
+
+def reconcile(spark: SparkSession, raw_count: int, corrected_count: int, categorized_count: int) -> DataFrame:
+    """raw = corrected = categorized row counts, all > 0, from the counts gathered while writing."""
+    match = raw_count == corrected_count == categorized_count and raw_count > 0
+    return spark.createDataFrame([(raw_count, corrected_count, categorized_count, match)],
+                                 "raw_count bigint, corrected_count bigint, categorized_count bigint, counts_match boolean")
 
 
 def coverage(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -228,44 +281,104 @@ def coverage(df: DataFrame, cols: list[str]) -> DataFrame:
 
 # ---- valid / rejected split, run tally, stage profile (B12, D16, D17) -------
 
-def split_valid(df: DataFrame, reason: Column) -> DataFrame:
-    """Adds reject_reason (NULL when valid) and is_valid; write both
-    halves from one persisted input with two filters."""
-    return df.withColumn("reject_reason", reason).withColumn("is_valid", F.col("reject_reason").isNull())
+def write_split(df: DataFrame, path: str, reason_col: str = "reject_reason") -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """B12 + D16: valid rows and rejects (rows with a reason) as two stored tables, from one evaluation of `df`.
 
+    Returns both tables and the run's tally (successful, failed, total), observed while the rows were written.
+    """
+    seen = Observation("split")
+    good = F.col(reason_col).isNull()
+    tally = seen_counts(good)
+    marked = df.observe(seen, *tally).withColumn("outcome", F.when(good, F.lit("valid")).otherwise(F.lit("reject")))
+    marked.write.mode("errorifexists").partitionBy("outcome").parquet(path)
+    # both folders may not exist: the schema is given and the outcome is a partition filter
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    valid = stored.where(F.col("outcome") == "valid").drop("outcome", reason_col)
+    return valid, stored.where(F.col("outcome") == "reject").drop("outcome"), dict(seen.get)
 
-def run_summary(df: DataFrame, valid_col: str = "is_valid") -> DataFrame:
-    """Successful / failed / total in one pass."""
-    return df.agg(
-        F.count_if(F.col(valid_col)).alias("successful"),
-        F.count_if(~F.col(valid_col)).alias("failed"),
-        F.count(F.lit(1)).alias("total"),
-    )
+
+def seen_counts(good: Column) -> list[Column]:
+    return [F.count_if(good).alias("successful"), F.count_if(~good).alias("failed"), F.count(F.lit(1)).alias("total")]
+
+
+def run_summary(spark: SparkSession, tally: dict[str, int]) -> DataFrame:
+    """Successful / failed / total of a run, from the tally of `write_split`."""
+    return spark.createDataFrame([(tally["successful"], tally["failed"], tally["total"])],
+                                 "successful bigint, failed bigint, total bigint")
 
 
 # Duration histogram bucket edges in seconds.
 DURATION_BUCKETS = [0.1, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0]
 
 
-def stage_profile(events: DataFrame, exact: bool = True) -> DataFrame:
-    """Per stage count, success share, P50/P95/P99 and a duration histogram.
+QUANTILES = ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))
+SKETCH_K = 400  # a sketch's size parameter: its ranks are within about 0.5 % of the true ones
 
-    `exact=False` uses percentile_approx (bounded memory per group at scale).
-    """
-    d = F.col("duration_s")
+
+def _bucket(d: Column) -> Column:
     bucket = F.lit(len(DURATION_BUCKETS))
     for i in range(len(DURATION_BUCKETS) - 1, -1, -1):
         bucket = F.when(d <= DURATION_BUCKETS[i], F.lit(i)).otherwise(bucket)
-    quantiles = ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))
-    if exact:
-        pct = [F.round(F.percentile(d, p), 6).alias(n) for p, n in quantiles]
-    else:
-        pct = [F.round(F.percentile_approx(d, p, 10000), 6).alias(n) for p, n in quantiles]
-    agg = events.groupBy("stage").agg(
+    return bucket
+
+
+def _histogram(d: Column) -> list[Column]:
+    return [F.count_if(_bucket(d) == i).alias(f"le_{i}") for i in range(len(DURATION_BUCKETS) + 1)]
+
+
+def stage_profile(events: DataFrame) -> DataFrame:
+    """Per stage count, success share, exact P50/P95/P99 and a duration histogram.
+
+    Exact quantiles hold a stage's distinct durations in one task; `stage_sketches` doesn't.
+    """
+    d = F.col("duration_s")
+    return events.groupBy("stage").agg(
         F.count(F.lit(1)).alias("events"),
         F.round(F.avg(F.col("success").cast("double")), 6).alias("success_share"),
         F.round(F.avg(d), 6).alias("avg_duration"),
-        *pct,
-        *[F.count_if(bucket == i).alias(f"le_{i}") for i in range(len(DURATION_BUCKETS) + 1)],
+        *[F.round(F.percentile(d, p), 6).alias(n) for p, n in QUANTILES],
+        *_histogram(d),
     )
-    return agg
+
+
+def stage_sketches(events: DataFrame, by: list[str], k: int = SKETCH_K) -> DataFrame:
+    """D17 in bounded memory: per stage and `by` the counts, sums, histogram and a mergeable quantile sketch (a few KB)."""
+    d = F.col("duration_s")
+    return events.groupBy("stage", *by).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("success")).alias("successes"),
+        F.sum(d).alias("total_duration"),
+        F.kll_sketch_agg_double(d, F.lit(k)).alias("sketch"),
+        *_histogram(d),
+    )
+
+
+def merge_profiles(sketches: DataFrame, by: list[str] | None = None, k: int = SKETCH_K) -> DataFrame:
+    """D17 from stored sketches: any periods merged into one profile per stage (and `by`), no event is read again."""
+    merged = sketches.groupBy("stage", *(by or [])).agg(
+        F.sum("events").alias("events"),
+        F.sum("successes").alias("successes"),
+        F.sum("total_duration").alias("total_duration"),
+        F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"),
+        *[F.sum(f"le_{i}").alias(f"le_{i}") for i in range(len(DURATION_BUCKETS) + 1)],
+    )
+    return merged.select(
+        "stage", *(by or []), "events",
+        F.round(F.col("successes") / F.col("events"), 6).alias("success_share"),
+        F.round(F.col("total_duration") / F.col("events"), 6).alias("avg_duration"),
+        *[F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(n) for p, n in QUANTILES],
+        *[f"le_{i}" for i in range(len(DURATION_BUCKETS) + 1)],
+    )
+
+
+def rank_errors(events: DataFrame, profile: DataFrame) -> DataFrame:
+    """How far each quantile of a profile is from its rank: stage, quantile, share of events at or below it less its share.
+
+    Where equal durations straddle the rank, the distance is to the nearer end of their run.
+    """
+    q = F.explode(F.array(*[F.struct(F.lit(n).alias("quantile"), F.lit(p).alias("p"), F.col(n).alias("at")) for p, n in QUANTILES]))
+    wanted = F.broadcast(profile.select("stage", q.alias("q")).select("stage", "q.*"))  # three rows a stage
+    d = F.col("duration_s")
+    counted = events.where(d.isNotNull()).join(wanted, "stage").groupBy("stage", "quantile", "p").agg(
+        (F.count_if(d < F.col("at")) / F.count(F.lit(1))).alias("below"), (F.count_if(d <= F.col("at")) / F.count(F.lit(1))).alias("up_to"))
+    return counted.select("stage", "quantile", F.greatest(F.col("below") - F.col("p"), F.col("p") - F.col("up_to"), F.lit(0.0)).alias("rank_error"))

@@ -7,6 +7,7 @@ given tables (through the fixture mapping) and runs over all of their rows.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -142,9 +143,13 @@ for _days in (30, 365):
 
 # ---- operator-level queries -------------------------------------------------
 
-from groundwork.operators import extract, incremental, quality  # noqa: E402
+from groundwork.functions import clean  # noqa: E402
+from groundwork.operators import extract, incremental, quality, staging  # noqa: E402
+from groundwork.session import shared_path  # noqa: E402
 from groundwork.sources import fixture as FX  # noqa: E402
 from groundwork.sources import io as IO  # noqa: E402
+from groundwork.sources.tables import Table  # noqa: E402
+from groundwork.streaming import stream  # noqa: E402
 
 CUT = _dt.datetime(1999, 1, 1)
 
@@ -178,17 +183,13 @@ def k_quality_suite(spark, d):
 
 @register("d13_table_status")
 def d13_table_status(spark, d):
-    p = _p(spark, d)
-    return quality.table_status({"raw_work_orders": p.raw(), "raw_work_orders_corrected": p.corrected(),
-                                 "raw_work_orders_with_ml": p.with_ml(), "stg_work_orders": p.staging(),
-                                 "dim_builders": p.dim_builders(), "dim_projects": p.dim_projects(),
-                                 "dim_companies": p.dim_companies(), "fct_work_orders": p.fact()})
+    return quality.table_status(spark, _p(spark, d).row_counts())
 
 
 @register("d14_reconcile")
 def d14_reconcile(spark, d):
-    p = _p(spark, d)
-    return quality.reconcile(p.raw(), p.corrected(), p.with_ml())
+    n = _p(spark, d).row_counts()
+    return quality.reconcile(spark, n["raw_work_orders"], n["raw_work_orders_corrected"], n["raw_work_orders_with_ml"])
 
 
 @register("d15_coverage")
@@ -202,6 +203,16 @@ def d17_stage_profile(spark, d):
     return quality.stage_profile(FX.stage_events(spark, d))
 
 
+@register("d17_stage_sketches")
+def d17_stage_sketches(spark, d):
+    """Daily quantile sketches merged per stage; are the quantiles within 1 % of their ranks?"""
+    ev = FX.stage_events(spark, d)
+    daily = quality.stage_sketches(ev.withColumn("day", F.to_date("ts")), ["day"])
+    profile = quality.merge_profiles(daily)
+    errors = quality.rank_errors(ev, profile).groupBy("stage").agg((F.max("rank_error") <= 0.01).alias("within_rank"))
+    return profile.drop("p50", "p95", "p99").join(errors, "stage")
+
+
 @register("a14_retention")
 def a14_retention(spark, d):
     f = _p(spark, d).fact()
@@ -249,43 +260,228 @@ def c9_keyword_categories(spark, d):
     return cat.categorize(_p(spark, d).corrected(), answers=None)
 
 
-@register("i1_stream_dedup")
-def i1_stream_dedup(spark, d):
-    """Redelivered events (every third one twice) -> exactly once per event id.
+def _scratch(spark: SparkSession, name: str) -> str:
+    return shared_path(spark, f"{name}-{uuid.uuid4().hex}")
 
-    The source folder is written under the shared checkpoint dir; the stream
-    runs with availableNow and the deduplicated sink is read back.
-    """
-    import uuid
-
-    from groundwork.session import shared_path
-    from groundwork.streaming import stream
 
-    base = shared_path(spark, f"i1-{uuid.uuid4().hex}")
+@register("i1_stream_dedup")
+def i1_stream_dedup(spark, d):
+    """Redelivered events, in many micro-batches and out of order -> each event id exactly once, none dropped."""
+    base = _scratch(spark, "i1")
+    schema = FX.redelivered_events(spark, d, f"{base}/src")
+    stream.ingest(stream.source(spark, f"{base}/src", schema, files_per_batch=4), f"{base}/store", f"{base}/checkpoint",
+                  key="event_id", ts_col="ts")
+    return stream.ingested(spark, f"{base}/store", schema).drop(stream.ROUTE)
+
+
+@register("i2_refresh")
+def i2_refresh(spark, d):
+    """A day-partitioned table refreshed by two streams, the second with a checkpoint of its own and newer versions."""
+    base = _scratch(spark, "i2")
+    ev = FX.read(spark, d, "events")
+    table = Table(spark, f"{base}/table", "event_id", "ts", "ts", "day", ("user_id",))
+    half = F.col("event_id") % 2 == 0
+    ev.where(half).repartition(2).write.parquet(f"{base}/src1")
+    FX.changed_events(ev).unionByName(ev.where(~half)).repartition(2).write.parquet(f"{base}/src2")
+    for n, per in ((1, 2), (2, 1)):
+        stream.refresh(stream.source(spark, f"{base}/src{n}", ev.schema, files_per_batch=per), table, f"{base}/checkpoint{n}")
+    return table.read()
+
+
+@register("a15_publish")
+def a15_publish(spark, d):
+    """Events published as messages by a stream and decoded again."""
+    base = _scratch(spark, "a15")
     ev = FX.read(spark, d, "events")
-    ev.write.mode("append").parquet(f"{base}/src")
-    ev.filter(F.col("event_id") % 3 == 0).write.mode("append").parquet(f"{base}/src")
-    s = stream.ingest(spark, f"{base}/src", ev.schema, key="event_id", ts_col="ts", delay="1 day")
-    stream.run_available(s, f"{base}/out", f"{base}/checkpoint")
-    out = spark.read.parquet(f"{base}/out")
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    ev.repartition(3).write.parquet(f"{base}/src")
+    stream.publish_stream(stream.source(spark, f"{base}/src", ev.schema, files_per_batch=1), f"{base}/sink",
+                          f"{base}/checkpoint", "event_id", ["event_type"])
+    sent = stream.published(spark, f"{base}/sink")
+    body = stream.decode(sent.select("value"), ev.schema)
+    keys = sent.select(F.col("key").cast("bigint").alias("event_id"), F.col("attributes")["event_type"].alias("attribute"))
+    return body.join(keys, "event_id")
 
 
 @register("h7_json_answers")
 def h7_json_answers(spark, d):
-    """H7 parse + H9 services + D20 score + B13 missing fields + B12 split."""
+    """H7 parse + H9 services + D20 score + B13 missing fields of every answer, rejects with their reason."""
     a = extract.parse_json(FX.json_answers(spark, d))
-    return a.select(
-        "work_order_id", "is_valid",
-        F.col("answer.work_order_number").alias("work_order_number"),
-        F.col("answer.project_name").alias("project_name"),
-        F.size(extract.normalize_services(F.col("answer.services"))).alias("n_services"),
-        F.round(extract.extraction_score(F.col("answer")), 6).alias("score"),
-        F.array_join(extract.missing_fields(F.col("answer")), ",").alias("missing"),
-    ).where(F.col("is_valid"))
+    return a.select("work_order_id", "is_valid", "reject_reason", *_answer_columns())
+
+
+def _answer_columns() -> list:
+    answer = F.col("answer")
+    valid = lambda c: F.when(F.col("is_valid"), c)
+    return [
+        extract.text_of(answer["work_order_number"]).alias("work_order_number"),
+        extract.text_of(answer["project_name"]).alias("project_name"),
+        F.size(extract.normalize_services(answer["services"])).alias("n_services"),
+        valid(F.round(extract.extraction_score(answer), 6)).alias("score"),
+        valid(F.array_join(extract.missing_fields(answer), ",")).alias("missing"),
+    ]
+
+
+def _split(spark, d):
+    a = extract.parse_json(FX.json_answers(spark, d)).select("work_order_id", "answer_text", "reject_reason")
+    return quality.write_split(a, f"{_scratch(spark, 'b12')}/answers")
+
+
+@register("b12_valid")
+def b12_valid(spark, d):
+    return _split(spark, d)[0].select("work_order_id")
+
+
+@register("b12_rejects")
+def b12_rejects(spark, d):
+    return _split(spark, d)[1]
 
 
 @register("d16_run_summary")
 def d16_run_summary(spark, d):
+    return quality.run_summary(spark, _split(spark, d)[2])
+
+
+@register("a4_answer_scan")
+def a4_answer_scan(spark, d):
+    """Answers read from files of records: validity, and the score and year of each, by the JSON types of its values."""
+    path = f"{_scratch(spark, 'a4')}/answers"
+    FX.write_answer_records(spark, d, path)
+    a = IO.scan_answers(spark, path, FX.RECORD_END)
+    year = F.col("answer.year")
+    zero = ~F.schema_of_variant(year).isin("STRING") & (F.try_variant_get(year, "$", "double") == 0)
+    return a.select(
+        F.regexp_extract("answer_text", r'"work_order_number":"(\w[^"]*)"', 1).alias("number_text"),
+        "is_valid", "reject_reason",
+        F.when(~F.coalesce(zero, F.lit(False)), clean.year(extract.text_of(year))).alias("year"),
+        F.when(F.col("is_valid"), F.round(extract.extraction_score(F.col("answer")), 6)).alias("score"),
+        (F.col("corrupt_record") == F.col("answer_text")).alias("kept_text"))
+
+
+@register("k7_schema_contract")
+def k7_schema_contract(spark, d):
+    """The raw table against its declared columns, and a damaged copy of it."""
+    raw = _p(spark, d).raw()
+    return quality.schema_contract(raw, "raw_work_orders", quality.RAW_CONTRACT).unionByName(
+        quality.schema_contract(_damaged(raw), "raw_damaged", quality.RAW_CONTRACT))
+
+
+def _damaged(raw: DataFrame) -> DataFrame:
+    """Without h8 and extracted_at, the year as text, no id on every 101st row."""
+    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    return raw.drop("h8", "extracted_at").withColumn("year", F.col("year").cast("string")).withColumn(
+        "work_order_id", F.when(k % 101 != 0, F.col("work_order_id")))
+
+
+@register("g3_missing_columns")
+def g3_missing_columns(spark, d):
+    """Declared columns that a damaged raw table lacks, and the NULLs of its required ones."""
+    checks = quality.schema_contract(_damaged(_p(spark, d).raw()), "raw_damaged", quality.RAW_CONTRACT)
+    return checks.where(~F.col("passed")).select("check_name", "failures")
+
+
+@register("a12_clustered")
+def a12_clustered(spark, d):
+    """The fact, written by month and clustered by its keys, read back."""
+    p = _p(spark, d)
+    table = p.fact_table(f"{_scratch(spark, 'a12')}/fact")
+    table.merge(p.fact())
+    return _no_audit(table.read())
+
+
+@register("l4_incremental")
+def l4_incremental(spark, d):
+    """Staging in two runs: all up to the cut, then what is newer, second extractions of old orders included.
+
+    By month of extraction: the test tables spread few orders over 2,400 days, a folder each by the default grain.
+    """
+    p = _p(spark, d)
+    table = p.staging_table(f"{_scratch(spark, 'l4')}/staging", "month")
+    ml = p.with_ml()
+    p.refresh_staging(table, ml.where(F.col("extracted_at") <= F.lit(CUT)))
+    p.refresh_staging(table, ml.unionByName(FX.revised(ml, CUT)))
+    return table.read()
+
+
+@register("l6_incremental")
+def l6_incremental(spark, d):
+    """The fact by month in two runs; second extractions move orders to other months."""
+    p = _p(spark, d)
+    table = p.fact_table(f"{_scratch(spark, 'l6')}/fact")
+    dims = p.dim_builders(), p.dim_projects(), p.dim_companies()
+    old = p.staging()
+    new = staging.stage(FX.revised(p.with_ml(), CUT), p.run_ts)
+    p.refresh_fact(table, old.where(F.col("extracted_at") <= F.lit(CUT)), *dims)
+    p.refresh_fact(table, old.unionByName(new), *dims)
+    return _no_audit(table.read())
+
+
+@register("a8_upsert_replaces")
+def a8_upsert_replaces(spark, d):
+    """New versions replace old ones: later ones, ties decided by the other columns, and a column the old table lacks."""
+    stg = _p(spark, d).staging().select("work_order_id", "extracted_at", "month")
+    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    later = stg.where(k % 3 == 0).withColumn("month", F.concat("month", F.lit("-2"))).withColumn(
+        "extracted_at", F.col("extracted_at") + F.expr("INTERVAL 1 DAY"))
+    tied = later.where(k % 2 == 0).withColumn("month", F.concat("month", F.lit("-3")))
+    return incremental.upsert(stg, later.unionByName(tied).withColumn("version", F.lit(2)), "work_order_id", "extracted_at")
+
+
+@register("a9_update_column")
+def a9_update_column(spark, d):
+    """The last answer of an order sets its column, NULL included; orders without one keep theirs."""
+    stg = _p(spark, d).staging().select("work_order_id", "month", "extracted_at")
+    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    at = F.explode(F.array(F.lit(1), F.lit(2)))
+    src = stg.where(k % 3 == 0).select("work_order_id", at.alias("n"), k.alias("k")).select(
+        "work_order_id", "n", F.when((F.col("n") == 2) & (F.col("k") % 2 == 0), None).otherwise(F.concat_ws("/", F.lit("M"), "n")).alias("month"),
+        F.concat_ws("/", F.lit("note"), "n").alias("note"))
+    return incremental.update_column(stg, src, "work_order_id", ["month", "note"], "n")
+
+
+@register("k9_thresholds")
+def k9_thresholds(spark, d):
+    return quality.thresholds(_p(spark, d).staging(), "data_completeness_score", ["work_order_number", "description", "work_date"]).select(
+        F.round("avg_score", 6).alias("avg_score"), F.round("max_null_share", 6).alias("max_null_share"), "score_ok", "nulls_ok")
+
+
+@register("f5_by_key")
+def f5_by_key(spark, d):
+    return R.by_key(_p(spark, d).with_ml())
+
+
+@register("h26_document_id")
+def h26_document_id(spark, d):
+    """Raw rows of answers without an id: the id comes from number and extraction time."""
+    a = FX.answer_texts(spark, d).drop("work_order_id")
+    return extract.to_raw_row(a).select("work_order_id", "file_url")
+
+
+@register("h9_services")
+def h9_services(spark, d):
+    """The normalized services of valid answers, one row each (H9, H4, H5)."""
     a = extract.parse_json(FX.json_answers(spark, d))
-    return quality.run_summary(a)
+    return a.select("work_order_id", F.posexplode(extract.normalize_services(F.col("answer.services"))).alias("pos", "s")).select("work_order_id", "pos", "s.*")
+
+
+@register("a13_csv_export")
+def a13_csv_export(spark, d):
+    """Dimensions exported as CSV and loaded again with their types."""
+    p = _p(spark, d)
+    out = _scratch(spark, "a13")
+    dim = p.dim_projects().select("project_key", "project_name_corrected", "total_work_orders", "first_work_date")
+    IO.export_csv({"dim_projects": dim}, out)
+    return IO.load_seed(spark, f"{out}/dim_projects", dim.schema)
+
+
+@register("a5_append")
+def a5_append(spark, d):
+    """Raw rows appended in two loads, fully refreshed once, read with their declared columns."""
+    base = _scratch(spark, "a5")
+    raw = _p(spark, d).raw()
+    early = F.col("extracted_at") <= F.lit(CUT)
+    IO.replace(raw.limit(0), base)
+    IO.append(raw.where(early), base)
+    IO.append(raw.where(~early), base)
+    name = f"raw_{uuid.uuid4().hex}"
+    IO.as_view(IO.scan_table(spark, base, raw.schema), name)
+    return spark.table(name).select("work_order_id", "builder_name", "extracted_at", "d8", "q8")

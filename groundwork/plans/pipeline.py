@@ -1,23 +1,28 @@
 """End-to-end assemblies (L1-L6) over the given tables.
 
-Each function returns a lazy DataFrame; `Pipeline` keeps the chain so a
-caller can build all tables from one set of inputs, or write each stage and
-read it back (cutting lineage through storage, which also survives lost
-executors).
+`Pipeline` keeps the chain of stages. Each stored stage is written once as Parquet under the shared folder and read
+back (A6): later stages start from the stored table, a lost executor does not send the job back to the raw tables, and
+joins know the tables' sizes. Rows are counted by an `Observation` while a stage is written, so table status and
+reconciliation read nothing again. With `store=False` every stage stays a lazy DataFrame.
+
+`refresh_staging` and `refresh_fact` are the incremental builds (L4, L6) over partitioned tables.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from groundwork.operators import categorize as cat
 from groundwork.operators import correct as corr
 from groundwork.operators import extract, incremental, marts, staging
-from groundwork.session import ensure_checkpoint_dir
-from groundwork.sources import fixture
+from groundwork.session import shared_path
+from groundwork.sources import files, fixture
+from groundwork.sources.tables import Table
 
 AS_OF = marts.AS_OF
 RUN_TS = marts.RUN_TS
@@ -30,17 +35,28 @@ class Pipeline:
     as_of: _dt.date = AS_OF
     run_ts: _dt.datetime = RUN_TS
     max_dist: int = 2
-    cut_lineage: bool = True
+    store: bool = True
+    counts: dict = field(default_factory=dict)
     _cache: dict = field(default_factory=dict)
+    _folder: str = ""
 
-    def _cut(self, df: DataFrame) -> DataFrame:
-        """Reliable checkpoint into the shared checkpoint folder: later plans
-        start from the stored table instead of re-deriving it, and a lost
-        executor does not send the job back to the raw tables."""
-        if not self.cut_lineage:
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a stage, count its rows on the way, and read it back."""
+        if not self.store:
             return df
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+        if not self._folder:
+            self._folder = shared_path(self.spark, f"run-{uuid.uuid4().hex}")
+        seen = Observation(name)
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(f"{self._folder}/{name}")
+        self.counts[name] = seen.get["rows"]
+        return self.spark.read.schema(df.schema).parquet(f"{self._folder}/{name}")
+
+    def drop(self) -> None:
+        """Delete what this run stored."""
+        if self._folder:
+            files.remove(self.spark, self._folder)
+            self._folder = ""
+        self._cache.clear()
 
     def _memo(self, name, fn):
         if name not in self._cache:
@@ -53,7 +69,7 @@ class Pipeline:
                           lambda: extract.to_raw_row(fixture.answer_texts(self.spark, self.sf_dir)))
 
     def raw(self) -> DataFrame:
-        return self._memo("raw", lambda: fixture.raw_work_orders(self.spark, self.sf_dir))
+        return self._memo("raw", lambda: self._stored("raw_work_orders", fixture.raw_work_orders(self.spark, self.sf_dir)))
 
     def dictionary(self) -> DataFrame:
         return self._memo("dictionary", lambda: fixture.builder_dictionary(self.spark, self.sf_dir))
@@ -69,30 +85,37 @@ class Pipeline:
             self.corrected(), answers=fixture.category_answers(self.spark, self.sf_dir)))
 
     def with_ml(self) -> DataFrame:
-        # one pass over the corrected rows; equal to update_column(corrected, categories())
-        return self._memo("with_ml", lambda: cat.with_categories(
-            self.corrected(), answers=fixture.category_answers(self.spark, self.sf_dir)))
+        """One pass over the corrected rows (equal to update_column(corrected, categories())); they are counted on the way."""
+        def build():
+            corrected, seen = self.corrected(), Observation("raw_work_orders_corrected")
+            if self.store:
+                corrected = corrected.observe(seen, F.count(F.lit(1)).alias("rows"))
+            out = self._stored("raw_work_orders_with_ml", cat.with_categories(
+                corrected, answers=fixture.category_answers(self.spark, self.sf_dir)))
+            if self.store:
+                self.counts["raw_work_orders_corrected"] = seen.get["rows"]
+            return out
+        return self._memo("with_ml", build)
 
     # L4
     def staging(self) -> DataFrame:
-        return self._memo("staging", lambda: self._cut(staging.stage(self.with_ml(), self.run_ts)))
+        return self._memo("staging", lambda: self._stored("stg_work_orders", staging.stage(self.with_ml(), self.run_ts)))
 
     # L5
     def dim_builders(self) -> DataFrame:
-        return self._memo("dim_builders", lambda: marts.dim_builders(self.staging(), self.dictionary(),
-                                                                     self.as_of, self.run_ts))
+        return self._memo("dim_builders", lambda: self._stored("dim_builders", marts.dim_builders(
+            self.staging(), self.dictionary(), self.as_of, self.run_ts)))
 
     def dim_projects(self) -> DataFrame:
-        return self._memo("dim_projects", lambda: marts.dim_projects(self.staging(), self.run_ts))
+        return self._memo("dim_projects", lambda: self._stored("dim_projects", marts.dim_projects(self.staging(), self.run_ts)))
 
     def dim_companies(self) -> DataFrame:
-        return self._memo("dim_companies", lambda: marts.dim_companies(self.staging(), self.run_ts))
+        return self._memo("dim_companies", lambda: self._stored("dim_companies", marts.dim_companies(self.staging(), self.run_ts)))
 
     # L6
     def fact(self) -> DataFrame:
-        return self._memo("fact", lambda: self._cut(marts.fact(self.staging(), self.dim_builders(),
-                                                               self.dim_projects(), self.dim_companies(),
-                                                               self.run_ts)))
+        return self._memo("fact", lambda: self._stored("fct_work_orders", marts.fact(
+            self.staging(), self.dim_builders(), self.dim_projects(), self.dim_companies(), self.run_ts)))
 
     def service_lines(self) -> DataFrame:
         return self._memo("service_lines", lambda: marts.fct_service_lines(
@@ -101,3 +124,29 @@ class Pipeline:
     def dim_builders_conformed(self) -> DataFrame:
         return self._memo("dbc", lambda: marts.dim_builders_conformed(self.fact(), self.dim_builders(),
                                                                       self.as_of))
+
+    TABLES = ("raw_work_orders", "raw_work_orders_corrected", "raw_work_orders_with_ml", "stg_work_orders",
+              "dim_builders", "dim_projects", "dim_companies", "fct_work_orders")
+
+    def row_counts(self) -> dict[str, int | None]:
+        """Rows of every table of the run (D13, D14), gathered while they were written."""
+        self.fact()
+        return {name: self.counts.get(name) for name in self.TABLES}
+
+    # L4, L6 incremental
+    def staging_table(self, path: str, grain: str = "day") -> Table:
+        return Table(self.spark, path, "work_order_id", "extracted_at", "extracted_at", grain, ("builder_name", "project_name"))
+
+    def fact_table(self, path: str) -> Table:
+        return Table(self.spark, path, "work_order_id", "extracted_at", "work_date", "month",
+                     ("builder_key", "project_key", "company_key"))
+
+    def refresh_staging(self, table: Table, with_ml: DataFrame) -> list[str]:
+        """L4: rows newer than the table's mark (B3) are staged and merged; the first run takes all."""
+        held = table.read() if table.exists() else None
+        return table.merge(staging.stage(incremental.newer_than(with_ml, held, "extracted_at"), self.run_ts))
+
+    def refresh_fact(self, table: Table, stg: DataFrame, db: DataFrame, dp: DataFrame, dc: DataFrame) -> list[str]:
+        """Staged rows newer than the fact's mark get their keys and are merged into their months."""
+        held = table.read() if table.exists() else None
+        return table.merge(marts.fact(incremental.newer_than(stg, held, "extracted_at"), db, dp, dc, self.run_ts))

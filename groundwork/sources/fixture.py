@@ -8,10 +8,9 @@ grows with them; nothing here is collected.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from groundwork.functions.clean import MONTHS
 
@@ -353,10 +352,6 @@ def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)
-
-
 def json_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON-style extraction answers built from the raw work orders.
 
@@ -379,3 +374,38 @@ def json_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k % 4 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
             .otherwise(body))
     return raw.select("work_order_id", text.alias("answer_text"))
+
+
+RECORD_END = "\x1e"
+
+
+def write_answer_records(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The JSON answers as files of records, with text after the object (every 37th) and a number 0 as year (every 41st)."""
+    a = json_answers(spark, sf_dir)
+    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    text = (F.when(k % 37 == 0, F.concat("answer_text", F.lit(" trailing")))
+            .when(k % 41 == 0, F.regexp_replace("answer_text", r'"year":"[0-9]*"', '"year":0'))
+            .otherwise(F.col("answer_text")))
+    a.select(text.alias("value")).write.option("lineSep", RECORD_END).text(path)
+
+
+def revised(with_ml: DataFrame, cut) -> DataFrame:
+    """A second extraction of every 50th order up to `cut`: extracted 4000 days later, for January, with another text."""
+    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    old = with_ml.where((k % 50 == 0) & (F.col("extracted_at") <= F.lit(cut)))
+    return old.withColumn("extracted_at", F.col("extracted_at") + F.expr("INTERVAL 4000 DAYS")).withColumn(
+        "month", F.lit("JANUARY")).withColumn("description", F.concat(F.lit("REVISED "), "description"))
+
+
+def redelivered_events(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> T.StructType:
+    """The events as files of a stream, in event order and out of it: every third one comes again in the next files."""
+    ev = read(spark, sf_dir, "events")
+    ev.repartitionByRange(files, F.col("event_id") % 7).write.mode("append").parquet(path)
+    ev.where(F.col("event_id") % 3 == 0).repartitionByRange(files, F.col("ts").desc()).write.mode("append").parquet(path)
+    return ev.schema
+
+
+def changed_events(ev: DataFrame) -> DataFrame:
+    """Later versions of every 7th event: a day later, with another type."""
+    return ev.where(F.col("event_id") % 7 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).withColumn(
+        "event_type", F.concat("event_type", F.lit("-changed")))

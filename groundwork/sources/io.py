@@ -43,10 +43,16 @@ def load_seed(spark: SparkSession, path: str, schema: T.StructType = SEED_SCHEMA
     return spark.read.schema(schema).option("header", "true").csv(path)
 
 
-def scan_answers(spark: SparkSession, path: str) -> DataFrame:
-    """A4: one answer text per file (JSON text, possibly fenced)."""
-    return spark.read.option("wholetext", "true").text(path).select(
-        F.input_file_name().alias("path"), F.col("value").alias("answer_text"))
+def scan_answers(spark: SparkSession, path: str, record_end: str | None = None) -> DataFrame:
+    """A4: answers as (path, answer_text, answer, is_valid, reject_reason, corrupt_record).
+
+    One answer (JSON text, possibly fenced) per file, or per record of larger files when `record_end` is given. The read
+    is permissive: what is not one JSON object as a whole stays as a row with its text in `corrupt_record`.
+    """
+    from groundwork.operators.extract import parse_json
+
+    reader = spark.read.option("lineSep", record_end) if record_end else spark.read.option("wholetext", "true")
+    return parse_json(reader.text(path).select(F.input_file_name().alias("path"), F.col("value").alias("answer_text")))
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -71,16 +77,11 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def ensure_column(df: DataFrame, name: str, dtype: str) -> DataFrame:
-    """A10: ADD COLUMN IF NOT EXISTS."""
-    return df if name in df.columns else df.withColumn(name, F.lit(None).cast(dtype))
-
-
 def partitioned(df: DataFrame, col: str, grain: str = "day", out_col: str | None = None) -> DataFrame:
     """Derived partition column (day of a timestamp, or month of a date)."""
-    out_col = out_col or f"{col}_{grain}"
-    part = F.to_date(col) if grain == "day" else F.trunc(F.col(col), "month")
-    return df.withColumn(out_col, part)
+    from groundwork.sources.tables import period
+
+    return df.withColumn(out_col or f"{col}_{grain}", period(F.col(col), grain))
 
 
 def clustered(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
@@ -107,8 +108,3 @@ def split_by_age(df: DataFrame, ts_col: str, as_of: _dt.date, expire_days: int |
     if expire_days is not None:
         cls = F.when(age > expire_days, F.lit("expired")).otherwise(cls)
     return df.withColumn("age_days", age).withColumn("retention", cls)
-
-
-def keep_recent(df: DataFrame, ts_col: str, as_of: _dt.date, keep_days: int = 90) -> DataFrame:
-    """A14 as a filter: rows newer than the limit (prunes date partitions)."""
-    return df.filter(F.to_date(ts_col) >= F.date_sub(F.lit(as_of), keep_days))

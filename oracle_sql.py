@@ -416,7 +416,7 @@ def l1_sql() -> str:
 
 # --------------------------------------------------------------- queries --
 
-def queries() -> dict[str, str]:
+def report_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out["l1_raw_build"] = l1_sql()
     out["l2_corrected"] = with_ctes("SELECT * FROM corrected")
@@ -580,7 +580,7 @@ SELECT k.work_order_id,
 FROM kw_in k LEFT JOIN kw_txt t USING (work_order_id)"""
 
 
-def more_queries() -> dict[str, str]:
+def operator_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out["c7_fuzzy_builders"] = with_ctes(
         "SELECT DISTINCT builder_name_raw, builder_name AS builder_name_corrected FROM corrected")
@@ -644,41 +644,128 @@ WHERE ml_categorization IS NOT NULL ORDER BY work_order_id LIMIT 3""")
     return out
 
 
-_base_queries = queries
+KEY = "CAST(regexp_extract(work_order_id, '(\\d+)$', 1) AS BIGINT)"
+CUT = "TIMESTAMP '1999-01-01 00:00:00'"
+REJECT = "'not one JSON object'"
 
 
-def queries() -> dict[str, str]:  # noqa: F811
-    out = _base_queries()
-    out.update(more_queries())
-    return out
+def _answers_sql() -> str:
+    """One row per JSON answer: its key, number, name, year and number of services."""
+    return f"""
+SELECT r.work_order_id, r.k, r.work_order_number, CASE WHEN r.k % 23 = 0 THEN '' ELSE r.project_name END AS project_name,
+  r.builder_name, r.year, coalesce(s.n, 0) AS n
+FROM (SELECT *, {KEY} AS k FROM raw) r
+LEFT JOIN (SELECT work_order_id, count(*) AS n FROM ({_h8_sql()}) GROUP BY 1) s ON s.work_order_id = r.work_order_id"""
 
 
-_q2 = queries
+def answer_queries() -> dict[str, str]:
+    out: dict[str, str] = {}
+    base = _answers_sql()
+    out["h7_json_answers"] = with_ctes(f"""
+SELECT work_order_id, k % 19 <> 0 AS is_valid, CASE WHEN k % 19 = 0 THEN {REJECT} END AS reject_reason,
+  CASE WHEN k % 19 <> 0 THEN work_order_number END AS work_order_number,
+  CASE WHEN k % 19 <> 0 THEN project_name END AS project_name,
+  CASE WHEN k % 19 <> 0 THEN CAST(n AS INTEGER) END AS n_services,
+  CASE WHEN k % 19 <> 0 THEN
+    round(least((CASE WHEN project_name = '' THEN 6 ELSE 7 END) / 7.0 + least(n / 4.0, 1.0) * 0.2, 1.0), 6) END AS score,
+  CASE WHEN k % 19 <> 0 THEN (CASE WHEN project_name = '' THEN 'project_name' ELSE '' END) END AS missing
+FROM ({base})""")
+    out["b12_valid"] = with_ctes(f"SELECT work_order_id FROM raw WHERE {KEY} % 19 <> 0")
+    out["b12_rejects"] = with_ctes(f"""
+SELECT work_order_id, {REJECT} AS reject_reason,
+  substr('{{"work_order_number":"' || work_order_number || '","builder_name":"' || builder_name, 1, 40) AS answer_text
+FROM raw WHERE {KEY} % 19 = 0""")
+    out["d16_run_summary"] = with_ctes(f"""
+SELECT count(*) FILTER (WHERE {KEY} % 19 <> 0) AS successful, count(*) FILTER (WHERE {KEY} % 19 = 0) AS failed,
+  count(*) AS total FROM raw""")
+    ok = "(k % 19 <> 0 AND k % 37 <> 0)"
+    out["a4_answer_scan"] = with_ctes(f"""
+SELECT work_order_number AS number_text, {ok} AS is_valid, CASE WHEN NOT {ok} THEN {REJECT} END AS reject_reason,
+  CASE WHEN {ok} AND k % 41 <> 0 THEN year END AS year,
+  CASE WHEN {ok} THEN round(least(((CASE WHEN project_name = '' THEN 6 ELSE 7 END) - (CASE WHEN k % 41 = 0 THEN 1 ELSE 0 END)) / 7.0
+    + least(n / 4.0, 1.0) * 0.2, 1.0), 6) END AS score,
+  CASE WHEN NOT {ok} THEN true END AS kept_text
+FROM ({base})""")
+    out["h9_services"] = with_ctes(f"""
+SELECT work_order_id, CAST(row_number() OVER (PARTITION BY work_order_id ORDER BY line_no) - 1 AS INTEGER) AS pos, service_type,
+  CASE WHEN date <> 'N/A' THEN CAST(date AS DATE) END AS date, coalesce(quantity, 0.0) AS quantity, coalesce(hours, 0.0) AS hours
+FROM ({_h8_sql()}) WHERE {KEY} % 19 <> 0""")
+    out["h26_document_id"] = with_ctes("""
+SELECT CASE WHEN work_order_number = 'N/A' THEN 'UNKNOWN' ELSE work_order_number END || '_' || CAST(epoch_ms(extracted_at) AS VARCHAR)
+  AS work_order_id, file_url FROM raw""")
+    return out
 
 
-def queries() -> dict[str, str]:  # noqa: F811
-    out = _q2()
+def _contract_sql(body: str) -> str:
+    from groundwork.operators.quality import RAW_CONTRACT
+    spec = ", ".join(f"({q(f.name)}, {q(f.kind)}, {str(f.required).lower()})" for f in RAW_CONTRACT)
+    kinds = ("CASE WHEN column_type = 'VARCHAR' THEN 'STRING' WHEN column_type IN ('INTEGER', 'BIGINT') THEN 'INTEGER' "
+             "WHEN column_type IN ('DOUBLE', 'FLOAT') THEN 'FLOAT' WHEN column_type = 'TIMESTAMP' THEN 'TIMESTAMP' END")
+    ctes = f"""damaged AS (
+  SELECT raw.* EXCLUDE (h8, extracted_at, year, work_order_id), CAST(year AS VARCHAR) AS year,
+    CASE WHEN {KEY} % 101 <> 0 THEN work_order_id END AS work_order_id FROM raw),
+spec(name, kind, required) AS (VALUES {spec}),
+held AS (
+  SELECT 'raw_work_orders' AS model, column_name, {kinds} AS kind FROM (DESCRIBE SELECT * FROM raw)
+  UNION ALL SELECT 'raw_damaged', column_name, {kinds} FROM (DESCRIBE SELECT * FROM damaged)),
+wanted AS (SELECT * FROM (VALUES ('raw_work_orders'), ('raw_damaged')) m(model), spec),
+checks AS (
+  SELECT w.model, 'column_present(' || w.name || ')' AS check_name, CAST(CASE WHEN h.column_name IS NULL THEN 1 ELSE 0 END AS BIGINT) AS failures
+  FROM wanted w LEFT JOIN held h ON h.model = w.model AND h.column_name = w.name
+  UNION ALL
+  SELECT w.model, 'column_type(' || w.name || ')', CAST(CASE WHEN h.kind = w.kind THEN 0 ELSE 1 END AS BIGINT)
+  FROM wanted w JOIN held h ON h.model = w.model AND h.column_name = w.name
+  UNION ALL SELECT 'raw_work_orders', 'not_null(work_order_id)', count(*) FILTER (WHERE work_order_id IS NULL) FROM raw
+  UNION ALL SELECT 'raw_work_orders', 'not_null(extracted_at)', count(*) FILTER (WHERE extracted_at IS NULL) FROM raw
+  UNION ALL SELECT 'raw_damaged', 'not_null(work_order_id)', count(*) FILTER (WHERE work_order_id IS NULL) FROM damaged
+  UNION ALL SELECT 'raw_damaged', 'not_null(extracted_at)', count(*) FROM damaged)"""
+    return "WITH " + ",\n".join(_fixture_ctes()) + ",\n" + ctes + "\n" + body
+
+
+def stored_queries() -> dict[str, str]:
+    """Streams, incremental builds, layouts and contracts: what they must hold in the end."""
+    out: dict[str, str] = {}
     out["i1_stream_dedup"] = "SELECT DISTINCT * FROM events"
+    out["i2_refresh"] = """
+SELECT event_id, CASE WHEN event_id % 7 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts, user_id,
+  CASE WHEN event_id % 7 = 0 THEN event_type || '-changed' ELSE event_type END AS event_type, value, props FROM events"""
+    out["a15_publish"] = "SELECT *, event_type AS attribute FROM events"
+    old = f"({KEY} % 50 = 0 AND extracted_at <= {CUT})"
+    out["l4_incremental"] = with_ctes(f"""
+SELECT * REPLACE (CASE WHEN {old} THEN extracted_at + INTERVAL 4000 DAY ELSE extracted_at END AS extracted_at,
+  CASE WHEN {old} THEN 'JANUARY' ELSE month END AS month,
+  CASE WHEN {old} THEN (CASE WHEN year BETWEEN 1 AND 9999 THEN make_date(year, 1, 1) END) ELSE work_date END AS work_date,
+  CASE WHEN {old} THEN 'REVISED ' || description ELSE description END AS description)
+FROM stg""")
+    out["l6_incremental"] = with_ctes(f"""
+SELECT fct.* REPLACE (CASE WHEN {old} THEN extracted_at + INTERVAL 4000 DAY ELSE extracted_at END AS extracted_at,
+  CASE WHEN {old} THEN make_date(CAST(year(work_date) AS INTEGER), 1, 1) ELSE work_date END AS work_date,
+  CASE WHEN {old} THEN 'REVISED ' || description ELSE description END AS description)
+FROM fct""")
+    out["a12_clustered"] = with_ctes("SELECT * FROM fct")
+    out["a8_upsert_replaces"] = with_ctes(f"""
+SELECT work_order_id, CASE WHEN {KEY} % 3 = 0 THEN extracted_at + INTERVAL 1 DAY ELSE extracted_at END AS extracted_at,
+  CASE WHEN {KEY} % 6 = 0 THEN month || '-2-3' WHEN {KEY} % 3 = 0 THEN month || '-2' ELSE month END AS month,
+  CASE WHEN {KEY} % 3 = 0 THEN CAST(2 AS INTEGER) END AS version FROM stg""")
+    out["a9_update_column"] = with_ctes(f"""
+SELECT work_order_id, CASE WHEN {KEY} % 6 = 0 THEN NULL WHEN {KEY} % 3 = 0 THEN 'M/2' ELSE month END AS month, extracted_at,
+  CASE WHEN {KEY} % 3 = 0 THEN 'note/2' END AS note FROM stg""")
+    out["a5_append"] = with_ctes("SELECT work_order_id, builder_name, extracted_at, d8, q8 FROM raw")
+    out["a13_csv_export"] = with_ctes(
+        "SELECT project_key, project_name_corrected, total_work_orders, first_work_date FROM dim_projects")
+    out["f5_by_key"] = with_ctes(
+        "SELECT work_order_id, description, company_name_standardized FROM with_ml WHERE description IS NOT NULL")
+    shares = ", ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)" for c in ("work_order_number", "description", "work_date"))
+    out["k9_thresholds"] = with_ctes(f"""
+SELECT round(avg_score, 6) AS avg_score, round(share, 6) AS max_null_share, avg_score >= 0.7 AS score_ok, share <= 0.1 AS nulls_ok
+FROM (SELECT avg(data_completeness_score) AS avg_score, greatest({shares}) AS share FROM stg)""")
+    out["k7_schema_contract"] = _contract_sql("SELECT model, check_name, 'error' AS severity, failures, failures = 0 AS passed FROM checks")
+    out["g3_missing_columns"] = _contract_sql("SELECT check_name, failures FROM checks WHERE model = 'raw_damaged' AND failures > 0")
+    profile = operator_queries()["d17_stage_profile"]
+    out["d17_stage_sketches"] = f"SELECT * EXCLUDE (p50, p95, p99), true AS within_rank FROM ({profile})"
     return out
 
 
-_q3 = queries
-
-
-def queries() -> dict[str, str]:  # noqa: F811
-    out = _q3()
-    svc = ("(SELECT work_order_id, count(*) AS n FROM (" + _h8_sql() + ") GROUP BY 1) s")
-    base = f"""
-SELECT r.work_order_id, CAST(regexp_extract(r.work_order_id, '(\\d+)$', 1) AS BIGINT) AS k,
-  r.work_order_number, CASE WHEN CAST(regexp_extract(r.work_order_id, '(\\d+)$', 1) AS BIGINT) % 23 = 0 THEN ''
-  ELSE r.project_name END AS project_name, coalesce(s.n, 0) AS n
-FROM raw r LEFT JOIN {svc} ON s.work_order_id = r.work_order_id"""
-    out["h7_json_answers"] = with_ctes(f"""
-SELECT work_order_id, true AS is_valid, work_order_number, project_name, CAST(n AS INTEGER) AS n_services,
-  round(least((CASE WHEN project_name = '' THEN 6 ELSE 7 END) / 7.0 + least(n / 4.0, 1.0) * 0.2, 1.0), 6) AS score,
-  CASE WHEN project_name = '' THEN 'project_name' ELSE '' END AS missing
-FROM ({base}) WHERE k % 19 <> 0""")
-    out["d16_run_summary"] = with_ctes("""
-SELECT count(*) FILTER (WHERE k % 19 <> 0) AS successful, count(*) FILTER (WHERE k % 19 = 0) AS failed, count(*) AS total
-FROM (SELECT CAST(regexp_extract(work_order_id, '(\\d+)$', 1) AS BIGINT) AS k FROM raw)""")
-    return out
+def queries() -> dict[str, str]:
+    """All queries' SQL, by the names of the registered queries."""
+    return {**report_queries(), **operator_queries(), **answer_queries(), **stored_queries()}

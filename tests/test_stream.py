@@ -4,6 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from groundwork.sources.tables import Table
 from groundwork.streaming import stream
 
 
@@ -14,16 +15,14 @@ def test_ingest_dedup_and_refresh(spark, small_dir):
     ev.write.mode("append").parquet(src)
     ev.filter(F.col("event_id") % 3 == 0).write.mode("append").parquet(src)  # redelivery
     schema = spark.read.parquet(src).schema
-    s = stream.ingest(spark, src, schema, key="event_id", ts_col="ts", delay="1 day")
-    out = os.path.join(base, "out")
-    stream.run_available(s, out, os.path.join(base, "ck1"))
-    got = spark.read.parquet(out)
+    store = os.path.join(base, "store")
+    stream.ingest(stream.source(spark, src, schema), store, os.path.join(base, "ck1"), key="event_id", ts_col="ts")
+    got = stream.ingested(spark, store, schema)
     assert got.count() == ev.count() == got.select("event_id").distinct().count()
 
-    s2 = spark.readStream.schema(schema).parquet(src)
-    stream.refresh(s2, os.path.join(base, "tbl"), os.path.join(base, "ck2"), "event_id", "ts", spark)
-    t = stream.latest_table(spark, os.path.join(base, "tbl"))
-    assert t.count() == ev.count()
+    table = Table(spark, os.path.join(base, "tbl"), "event_id", "ts", "ts", "month")
+    stream.refresh(stream.source(spark, src, schema), table, os.path.join(base, "ck2"))
+    assert table.read().count() == ev.count()
 
 
 def test_encode_decode_roundtrip(spark, small_dir):
