@@ -27,11 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import merging_only, staged, table
+from groundwork.llm.common import merging_only, pieces_of, staged, table
 
 CAPACITY = 2048
 SEPARATOR_ID = 0
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 300_000  # chunks of each of the memo's two generations, beyond one slice of texts
+SLICE_BYTES = 2 << 20
 # Fixed value: the split pattern of the vocabulary file, applied to its lower-cased text.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _workers: dict[str, "WordIds"] = {}
@@ -47,43 +48,52 @@ class WordIds:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = regex.compile(WORDS)
         self.merger = merging_only(path)
-        self.memo: dict[str, bytes] = {}
-        self.word_memo: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text, as the library gives them."""
-        if not simple(text) or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        chunks = text.lower().split()  # no word of the pattern holds white space
-        memo = self.memo
-        try:
-            return b"".join(map(memo.__getitem__, chunks))
-        except KeyError:
-            pass
-        new = [c for c in dict.fromkeys(chunks) if c not in memo]
-        if len(memo) + len(new) > MEMO_ENTRIES:
-            memo.clear()
-            new = list(dict.fromkeys(chunks))
-        memo.update(zip(new, self.encode(new), strict=True))
-        out = b"".join(map(memo.__getitem__, chunks))
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, as the library gives them.
+
+        Texts whose normalising is lower-casing alone go chunk by chunk (no word of the pattern holds white space) through
+        the memo; all new chunks of the texts are encoded together. The memo's older half is dropped when the younger is
+        full, and chunks in use come back from it.
+        """
+        plain = [simple(t) and not any(s in t for s in self.special) for t in texts]
+        chunks = [t.lower().split() if ok else [] for t, ok in zip(texts, plain, strict=True)]
+        self.learn(set().union(*chunks).difference(self.young))
+        own = self.young
+        out = [
+            b"".join(map(own.__getitem__, c)) if ok else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            for t, c, ok in zip(texts, chunks, plain, strict=True)
+        ]
+        if len(own) > MEMO_ENTRIES:
+            self.old, self.young = own, {}
         return out
 
-    def encode(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk: its words are found here, the library merges each distinct new word once."""
-        split = [self.words.findall(c) for c in chunks]
-        known = self.word_memo
-        new = list(dict.fromkeys(w for ws in split for w in ws if w not in known))
-        if len(known) + len(new) > MEMO_ENTRIES:
-            known.clear()
-            new = list(dict.fromkeys(w for ws in split for w in ws))
+    def learn(self, chunks: set[str]) -> None:
+        """Put the ids of these chunks into the younger half: from the older one, or from their words.
+
+        A word is itself a chunk of one word, so words and chunks share the memo; the library merges each new word once.
+        """
+        young, old = self.young, self.old
+        back = chunks & old.keys()
+        young.update((c, old[c]) for c in back)
+        split = {c: self.words.findall(c) for c in chunks - back}
+        new = []
+        for w in {w for words in split.values() for w in words}:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    new.append(w)
         if new:
             e = self.merger.encode(new, is_pretokenized=True, add_special_tokens=False)
             ids = np.array(e.ids, "<u4").tobytes()
             ends = (np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(new))) * 4).tolist()
-            known.update((w, ids[a:b]) for w, a, b in zip(new, [0, *ends[:-1]], ends, strict=True))
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+            young.update((w, ids[a:b]) for w, a, b in zip(new, [0, *ends[:-1]], ends, strict=True))
+        for c, words in split.items():
+            if len(words) != 1 or words[0] != c:
+                young[c] = b"".join([young[w] for w in words])
 
 
 # Beyond Latin-1 and these, normalising may do more than lower-case letter by letter.
@@ -116,10 +126,10 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
         words, part = word_ids(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([SEPARATOR_ID], "<u4").tobytes()
-        for batch in batches:
+        for batch in (own for whole in batches for own in pieces_of(whole, whole.schema.names[1], SLICE_BYTES)):
             row, piece, start, length, crc, nth = [], [], [], [], [], []
-            for i, value in enumerate(batch.column(1)):
-                ids = words.ids(value.as_py() or "") + end
+            for i, ids in enumerate(words.ids([value.as_py() or "" for value in batch.column(1)])):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     n = len(own) // 4
