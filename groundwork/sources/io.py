@@ -51,8 +51,8 @@ def scan_answers(spark: SparkSession, path: str, record_end: str | None = None)
     """
     from groundwork.operators.extract import parse_json
 
-    reader = spark.read.option("lineSep", record_end) if record_end else spark.read.option("wholetext", "true")
-    return parse_json(reader.text(path).select(F.input_file_name().alias("path"), F.col("value").alias("answer_text")))
+    texts = spark.read.text(path, lineSep=record_end) if record_end else spark.read.text(path, wholetext=True)
+    return parse_json(texts.select(F.input_file_name().alias("path"), F.col("value").alias("answer_text")))
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
