@@ -367,7 +367,7 @@ def k7_schema_contract(spark, d):
 
 def _damaged(raw: DataFrame) -> DataFrame:
     """Without h8 and extracted_at, the year as text, no id on every 101st row."""
-    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    k = FX.order_key()
     return raw.drop("h8", "extracted_at").withColumn("year", F.col("year").cast("string")).withColumn(
         "work_order_id", F.when(k % 101 != 0, F.col("work_order_id")))
 
@@ -419,7 +419,7 @@ def l6_incremental(spark, d):
 def a8_upsert_replaces(spark, d):
     """New versions replace old ones: later ones, ties decided by the other columns, and a column the old table lacks."""
     stg = _p(spark, d).staging().select("work_order_id", "extracted_at", "month")
-    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    k = FX.order_key()
     later = stg.where(k % 3 == 0).withColumn("month", F.concat("month", F.lit("-2"))).withColumn(
         "extracted_at", F.col("extracted_at") + F.expr("INTERVAL 1 DAY"))
     tied = later.where(k % 2 == 0).withColumn("month", F.concat("month", F.lit("-3")))
@@ -430,7 +430,7 @@ def a8_upsert_replaces(spark, d):
 def a9_update_column(spark, d):
     """The last answer of an order sets its column, NULL included; orders without one keep theirs."""
     stg = _p(spark, d).staging().select("work_order_id", "month", "extracted_at")
-    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    k = FX.order_key()
     at = F.explode(F.array(F.lit(1), F.lit(2)))
     src = stg.where(k % 3 == 0).select("work_order_id", at.alias("n"), k.alias("k")).select(
         "work_order_id", "n", F.when((F.col("n") == 2) & (F.col("k") % 2 == 0), None).otherwise(F.concat_ws("/", F.lit("M"), "n")).alias("month"),

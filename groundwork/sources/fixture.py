@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from groundwork.functions.clean import MONTHS
 
-WIDE_LINES = 8  # four services x two lines on the paper form
+WIDE_LINES = 8  # four services x two lines on the paper form; longer orders go on to further forms
 
 # Service category per (return flag, line status).
 LINE_CATEGORY = {
@@ -97,21 +97,29 @@ def line_category(flag: Column, status: Column) -> Column:
     return out
 
 
-def ranked_lines(spark: SparkSession, sf_dir: str, top: int | None = WIDE_LINES) -> DataFrame:
-    """Line items of an order ranked by a full tie-break; first `top` kept.
+def ranked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their rank `r` in the order (a full tie-break), their `form` from 0 and the form's document id.
 
-    `row_number() <= top` lets Spark insert a per-partition group limit before
-    the shuffle, so even a very large order only ships `top` rows per task.
+    A form has WIDE_LINES lines, so every line of an order stands on one of its forms.
     """
     li = read(spark, sf_dir, "lineitem")
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    out = li.withColumn("r", F.row_number().over(w))
-    if top is not None:
-        out = out.filter(F.col("r") <= top)
-    return out
+    ranked = li.withColumn("r", F.row_number().over(w))
+    return ranked.withColumn("form", F.floor((F.col("r") - 1) / WIDE_LINES).cast("int")).withColumn(
+        "work_order_id", form_id(F.col("l_orderkey"), F.col("form")))
+
+
+def form_id(order: Column, form: Column) -> Column:
+    """WO-<order> for its first form (and orders without lines), WO-<order>-2 and so on for further ones."""
+    more = F.when(form > 0, F.concat(F.lit("-"), (form + 1).cast("string"))).otherwise(F.lit(""))
+    return F.concat(F.lit("WO-"), order.cast("string"), more)
+
+
+def order_key(work_order_id: str = "work_order_id") -> Column:
+    return F.regexp_extract(work_order_id, r"^WO-(\d+)", 1).cast("bigint")
 
 
 def _order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +144,6 @@ def _order_fields(o: DataFrame) -> DataFrame:
     base_project = F.concat_ws(" ", "p_brand", "p_type")
     return o.select(
         k.alias("o_orderkey"),
-        F.concat(F.lit("WO-"), k.cast("string")).alias("work_order_id"),
         F.when(k % 97 == 0, F.lit("N/A")).otherwise(k.cast("string")).alias("work_order_number"),
         F.when(k % 89 == 0, F.lit("N/A"))
         .otherwise(
@@ -176,7 +183,7 @@ def _order_fields(o: DataFrame) -> DataFrame:
 
 
 def _wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: the first eight ranked lines as columns."""
+    """One row per form: its ranked lines as columns."""
     li = ranked_lines(spark, sf_dir)
     cat = line_category(F.col("l_returnflag"), F.col("l_linestatus"))
     date_txt = F.date_format("l_shipdate", "yyyy-MM-dd")
@@ -196,19 +203,20 @@ def _wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_partkey") % 10 != 0, F.col("l_quantity")).alias("qv"),
         F.col("l_linenumber").cast("double").alias("hv"),
     )
-    # at most WIDE_LINES entries per order (rank filter above), so the list is bounded
-    per_order = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("ls"))
-    cols = [F.col("l_orderkey")]
+    # at most WIDE_LINES entries per form, so the list is bounded
+    per_form = li.groupBy("l_orderkey", "form").agg(F.array_sort(F.collect_list(line)).alias("ls"))
+    cols = [F.col("l_orderkey"), F.col("form")]
     for i in range(1, WIDE_LINES + 1):
         e = F.try_element_at("ls", F.lit(i))
         cols += [e[f].alias(f"{f}{i}") for f in ("cat", "dt", "qt", "ht", "qv", "hv")]
-    return per_order.select(*cols)
+    return per_form.select(*cols)
 
 
 def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _order_fields(_order_base(spark, sf_dir))
     w = _wide_lines(spark, sf_dir)
-    return o.join(w, o.o_orderkey == w.l_orderkey, "left").drop("l_orderkey")
+    j = o.join(w, o.o_orderkey == w.l_orderkey, "left").drop("l_orderkey")
+    return j.withColumn("work_order_id", form_id(F.col("o_orderkey"), F.col("form"))).drop("form")
 
 
 RAW_COLUMNS = (
@@ -281,10 +289,9 @@ def answer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Service-block answer per work order (what a categorization hook returns).
 
-    Every line of the order is a block, in ranked order; an answer is as long
-    as its own order.
+    Every line of the form is a block, in ranked order.
     """
-    li = ranked_lines(spark, sf_dir, top=None)
+    li = ranked_lines(spark, sf_dir)
     name = _pick((F.col("l_partkey") + F.col("l_linenumber")) % len(ANSWER_SERVICES), ANSWER_SERVICES)
     blocks = F.when(F.col("l_suppkey") % 5 == 0, F.lit("Not specified")).otherwise(
         F.concat(F.lit("Lot "), (F.col("l_partkey") % 20).cast("string"))
@@ -296,20 +303,20 @@ def category_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("\nBlocks/Lots/Units: "), blocks)
         ),
     )
-    per_order = li.groupBy("l_orderkey").agg(
+    per_form = li.groupBy("work_order_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("r"), block.alias("b")))).alias("bl")
     )
-    return per_order.select(
-        F.concat(F.lit("WO-"), F.col("l_orderkey").cast("string")).alias("work_order_id"),
+    return per_form.select(
+        "work_order_id",
         F.array_join(F.transform("bl", lambda x: x["b"]), "\n\n").alias("answer_text"),
     )
 
 
 def service_line_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line item as a priced service line (no rank needed: no shuffle)."""
-    li = read(spark, sf_dir, "lineitem")
+    """Every line item as a priced service line of its form."""
+    li = ranked_lines(spark, sf_dir)
     return li.select(
-        F.concat(F.lit("WO-"), F.col("l_orderkey").cast("string")).alias("work_order_id"),
+        "work_order_id",
         F.col("l_linenumber").alias("line_no"),
         line_category(F.col("l_returnflag"), F.col("l_linestatus")).alias("service_category"),
         F.col("l_quantity").alias("quantity"),
@@ -361,7 +368,7 @@ def json_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from groundwork.operators.extract import service_array
 
     raw = raw_work_orders(spark, sf_dir)
-    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    k = order_key()
     services = F.transform(service_array(), lambda s: F.struct(
         s["service_type"].alias("service_type"), s["date"].alias("date"),
         s["quantity"].cast("string").alias("quantity"), s["hours"].cast("string").alias("hours")))
@@ -382,7 +389,7 @@ RECORD_END = "\x1e"
 def write_answer_records(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The JSON answers as files of records, with text after the object (every 37th) and a number 0 as year (every 41st)."""
     a = json_answers(spark, sf_dir)
-    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    k = order_key()
     text = (F.when(k % 37 == 0, F.concat("answer_text", F.lit(" trailing")))
             .when(k % 41 == 0, F.regexp_replace("answer_text", r'"year":"[0-9]*"', '"year":0'))
             .otherwise(F.col("answer_text")))
@@ -391,7 +398,7 @@ def write_answer_records(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 def revised(with_ml: DataFrame, cut) -> DataFrame:
     """A second extraction of every 50th order up to `cut`: extracted 4000 days later, for January, with another text."""
-    k = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    k = order_key()
     old = with_ml.where((k % 50 == 0) & (F.col("extracted_at") <= F.lit(cut)))
     return old.withColumn("extracted_at", F.col("extracted_at") + F.expr("INTERVAL 4000 DAYS")).withColumn(
         "month", F.lit("JANUARY")).withColumn("description", F.concat(F.lit("REVISED "), "description"))

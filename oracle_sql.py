@@ -77,23 +77,27 @@ def _fixture_ctes() -> list[str]:
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
       l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS r
   FROM lineitem)""",
-        "r8 AS (SELECT * FROM rl WHERE r <= 8)",
+        """rf AS (
+  SELECT *, (r - 1) // 8 AS form, (r - 1) % 8 + 1 AS slot,
+    'WO-' || CAST(l_orderkey AS VARCHAR) || CASE WHEN r > 8 THEN '-' || CAST((r - 1) // 8 + 1 AS VARCHAR) ELSE '' END AS form_id
+  FROM rl)""",
     ]
     cat = _line_category("l_returnflag", "l_linestatus")
     cols = []
     for i in range(1, 9):
         cols += [
-            f"max(CASE WHEN r = {i} THEN {cat} END) AS cat{i}",
-            f"max(CASE WHEN r = {i} THEN strftime(l_shipdate, '%Y-%m-%d') END) AS dt{i}",
-            f"max(CASE WHEN r = {i} THEN (CASE WHEN l_partkey % 10 = 0 THEN 'X1' "
+            f"max(CASE WHEN slot = {i} THEN {cat} END) AS cat{i}",
+            f"max(CASE WHEN slot = {i} THEN strftime(l_shipdate, '%Y-%m-%d') END) AS dt{i}",
+            f"max(CASE WHEN slot = {i} THEN (CASE WHEN l_partkey % 10 = 0 THEN 'X1' "
             f"ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END) END) AS qt{i}",
-            f"max(CASE WHEN r = {i} THEN CAST(l_linenumber AS VARCHAR) || "
+            f"max(CASE WHEN slot = {i} THEN CAST(l_linenumber AS VARCHAR) || "
             f"(CASE WHEN l_suppkey % 4 = 0 THEN ' each' ELSE '' END) END) AS ht{i}",
-            f"max(CASE WHEN r = {i} AND l_partkey % 10 <> 0 THEN l_quantity END) AS qv{i}",
-            f"max(CASE WHEN r = {i} THEN CAST(l_linenumber AS DOUBLE) END) AS hv{i}",
+            f"max(CASE WHEN slot = {i} AND l_partkey % 10 <> 0 THEN l_quantity END) AS qv{i}",
+            f"max(CASE WHEN slot = {i} THEN CAST(l_linenumber AS DOUBLE) END) AS hv{i}",
         ]
-    ctes.append("wide AS (SELECT l_orderkey, " + ",\n  ".join(cols) + " FROM r8 GROUP BY l_orderkey)")
-    ctes.append("ow AS (SELECT * FROM ofx LEFT JOIN wide ON ofx.o_orderkey = wide.l_orderkey)")
+    ctes.append("wide AS (SELECT l_orderkey, form_id, " + ",\n  ".join(cols) + " FROM rf GROUP BY l_orderkey, form_id)")
+    ctes.append("ow AS (SELECT ofx.* REPLACE (coalesce(wide.form_id, ofx.work_order_id) AS work_order_id), wide.* EXCLUDE (form_id)\n"
+                "  FROM ofx LEFT JOIN wide ON ofx.o_orderkey = wide.l_orderkey)")
     raw_cols = ["work_order_id", "work_order_number", "builder_name", "project_name", "month", "year",
                 "company_name", "description", "file_url", "extracted_at"]
     for s in range(1, 5):
@@ -108,9 +112,8 @@ def _fixture_ctes() -> list[str]:
     block = (f"'Service: ' || {svc} || (CASE WHEN l_suppkey % 7 = 0 THEN '' "
              f"ELSE {NL} || 'Blocks/Lots/Units: ' || {blocks} END)")
     ctes.append(f"""cat_answers AS (
-  SELECT 'WO-' || CAST(l_orderkey AS VARCHAR) AS work_order_id,
-         string_agg({block}, {NL} || {NL} ORDER BY r) AS answer_text
-  FROM rl GROUP BY l_orderkey)""")
+  SELECT form_id AS work_order_id, string_agg({block}, {NL} || {NL} ORDER BY r) AS answer_text
+  FROM rf GROUP BY form_id)""")
     ctes.append(f"""dict AS (
   SELECT DISTINCT 'Builder ' || CAST(kk AS VARCHAR) AS original_name,
     CASE WHEN kk < {FX.DICTIONARY_MAX_BUILDER} THEN 'BUILDER GROUP ' || CAST(kk // 2 AS VARCHAR)
@@ -118,10 +121,10 @@ def _fixture_ctes() -> list[str]:
     CASE WHEN kk < {FX.DICTIONARY_MAX_BUILDER} THEN 0.9 ELSE 1.0 END AS confidence_score
   FROM (SELECT CAST(floor(sqrt(c_custkey)) AS BIGINT) AS kk FROM customer))""")
     ctes.append(f"""lines_src AS (
-  SELECT 'WO-' || CAST(l_orderkey AS VARCHAR) AS work_order_id, l_linenumber AS line_no,
+  SELECT form_id AS work_order_id, l_linenumber AS line_no,
     {cat} AS service_category, l_quantity AS quantity, CAST(l_linenumber AS DOUBLE) AS total_service_hours,
     CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(6,4))), 2) AS DOUBLE) AS estimated_service_value
-  FROM lineitem)""")
+  FROM rf)""")
     return ctes
 
 
@@ -644,7 +647,7 @@ WHERE ml_categorization IS NOT NULL ORDER BY work_order_id LIMIT 3""")
     return out
 
 
-KEY = "CAST(regexp_extract(work_order_id, '(\\d+)$', 1) AS BIGINT)"
+KEY = "CAST(regexp_extract(work_order_id, '^WO-(\\d+)', 1) AS BIGINT)"
 CUT = "TIMESTAMP '1999-01-01 00:00:00'"
 REJECT = "'not one JSON object'"
 
