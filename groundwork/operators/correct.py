@@ -18,15 +18,15 @@ def correct(raw: DataFrame, dictionary: DataFrame, run_ts: _dt.datetime | None =
             max_dist: int = 2) -> DataFrame:
     """Month, year, company, project and builder cleanup.
 
-    The in-band 'N/A' of the extractor becomes NULL for the work-order number
-    and the description, so downstream flags and scores see real NULLs.
+    The in-band 'N/A' of the extractor stays as it is: only NULL is missing, so
+    an order with a marker counts as filled and is categorized like any other.
     """
     run_ts = run_ts or _dt.datetime(2001, 7, 31, 0, 0, 0)
     df = raw.select(
         *[c for c in raw.columns if c not in ("work_order_number", "description", "builder_name",
                                               "project_name", "month", "year")],
-        clean.na_to_null("work_order_number").alias("work_order_number"),
-        clean.na_to_null("description").alias("description"),
+        "work_order_number",
+        "description",
         F.col("builder_name").alias("builder_name_raw"),
         F.col("builder_name"),
         F.col("project_name").alias("project_name_raw"),

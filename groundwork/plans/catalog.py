@@ -88,7 +88,7 @@ def l6_service_lines(spark, d):
 @register("l7_work_orders")
 def l7_work_orders(spark, d):
     p = _p(spark, d)
-    return R.work_orders(p.service_lines(), p.dim_builders_conformed(), p.dim_projects())
+    return R.work_orders(p.service_lines(), p.dim_builders_conformed(), p.dim_projects(), fct=p.fact())
 
 
 @register("l7_work_orders_filtered")
@@ -96,7 +96,7 @@ def l7_work_orders_filtered(spark, d):
     p = _p(spark, d)
     return R.work_orders(p.service_lines(), p.dim_builders_conformed(), p.dim_projects(),
                          start=_dt.date(1998, 1, 1), end=_dt.date(1999, 12, 31),
-                         builder_name="group", project_name="brand#1", limit=50, offset=20)
+                         builder_name="group", project_name="brand#1", limit=50, offset=20, fct=p.fact())
 
 
 @register("l8_builders")
@@ -137,6 +137,23 @@ def _window_queries(days: int):
         return R.kpis(_p(spark, d).service_lines(), days=days)
 
 
+    @register(f"l10_dashboard_{days}d")
+    def _dashboard(spark, d):
+        """The nested dashboard (D12), its arrays written as text in their order."""
+        p = _p(spark, d)
+        two = lambda c: F.format_string("%.2f", F.coalesce(c, F.lit(0.0)))
+        text = lambda name, *parts: F.array_join(F.transform(name, lambda x: F.concat_ws("|", *[f(x) for f in parts])), ";").alias(name)
+        board = R.dashboard(p.service_lines(), p.dim_builders_conformed(), days=days)
+        nested = ("daily_trend", "service_breakdown", "top_builders")
+        return board.select(
+            *[c for c in board.columns if c not in nested],
+            text("daily_trend", lambda x: F.date_format(x["work_date"], "yyyy-MM-dd"), lambda x: x["daily_orders"].cast("string"),
+                 lambda x: two(x["daily_hours"]), lambda x: two(x["daily_value"])),
+            text("service_breakdown", lambda x: F.coalesce(x["service_category"], F.lit("-")), lambda x: x["service_count"].cast("string"),
+                 lambda x: two(x["total_hours"]), lambda x: two(x["total_value"])),
+            text("top_builders", lambda x: x["builder_name"], lambda x: x["order_count"].cast("string"), lambda x: two(x["total_value"])))
+
+
 for _days in (30, 365):
     _window_queries(_days)
 

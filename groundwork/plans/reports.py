@@ -45,9 +45,16 @@ def in_window(as_of: _dt.date, days: int) -> Column:
 
 def work_orders(fsl: DataFrame, dbc: DataFrame, dp: DataFrame, start: _dt.date | None = None,
                 end: _dt.date | None = None, builder_name: str | None = None,
-                project_name: str | None = None, limit: int = 100, offset: int = 0) -> DataFrame:
-    """One row per work order with hours, value, categories and quality."""
-    f = fsl.filter(all_of(
+                project_name: str | None = None, limit: int = 100, offset: int = 0,
+                fct: DataFrame | None = None) -> DataFrame:
+    """One row per work order with hours, value, categories and quality.
+
+    The page is cut first, on the fact at order grain (`fct`; from the lines' own orders if it is not given); only the
+    lines of its at most 1000 orders are then aggregated.
+    """
+    grain = ["work_order_id", "work_order_number", "work_date", "builder_key", "project_key", "data_completeness_score"]
+    orders = fct.select(*grain) if fct is not None else fsl.select(*grain).distinct()
+    f = orders.filter(all_of(
         F.col("work_date") >= F.lit(start) if start else None,
         F.col("work_date") <= F.lit(end) if end else None,
     ))
@@ -55,13 +62,20 @@ def work_orders(fsl: DataFrame, dbc: DataFrame, dp: DataFrame, start: _dt.date |
     p = dp.select("project_key", F.col("project_name_corrected").alias("project_name"))
     j = f.join(b, "builder_key", "left").join(p, "project_key", "left")
     j = j.filter(all_of(contains_ci("builder_name", builder_name), contains_ci("project_name", project_name)))
-    g = j.groupBy("work_order_id", "work_order_number", "builder_name", "project_name", "work_date").agg(
+    order = [F.col("work_date").desc_nulls_last(), F.col("work_order_id").asc()]
+    top = page(j, order, limit, offset)
+    lines = fsl.select("work_order_id", "total_service_hours", "estimated_service_value", "service_category")
+    own = lines.join(F.broadcast(top.select("work_order_id")), "work_order_id", "left_semi")  # a page: at most 1000 rows
+    sums = own.groupBy("work_order_id").agg(
         F.round(F.sum("total_service_hours"), 2).alias("total_hours"),
         F.round(F.sum("estimated_service_value"), 2).alias("total_value"),
         F.array_sort(F.collect_set("service_category")).alias("service_categories"),
-        F.round(F.avg("data_completeness_score"), 6).alias("data_quality_score"),
     )
-    return page(g, [F.col("work_date").desc_nulls_last(), F.col("work_order_id").asc()], limit, offset)
+    return top.join(sums, "work_order_id", "left").select(
+        "work_order_id", "work_order_number", "builder_name", "project_name", "work_date", "total_hours", "total_value",
+        F.coalesce("service_categories", F.array().cast("array<string>")).alias("service_categories"),
+        F.round("data_completeness_score", 6).alias("data_quality_score"),
+    ).orderBy(*order)
 
 
 def builder_revenue(fsl: DataFrame, dbc: DataFrame) -> DataFrame:

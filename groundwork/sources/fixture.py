@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundwork.functions.clean import MONTHS
+from groundwork.functions.clean import MONTHS, strip_ws
 
 WIDE_LINES = 8  # four services x two lines on the paper form; longer orders go on to further forms
 
@@ -401,7 +401,7 @@ def revised(with_ml: DataFrame, cut) -> DataFrame:
     k = order_key()
     old = with_ml.where((k % 50 == 0) & (F.col("extracted_at") <= F.lit(cut)))
     return old.withColumn("extracted_at", F.col("extracted_at") + F.expr("INTERVAL 4000 DAYS")).withColumn(
-        "month", F.lit("JANUARY")).withColumn("description", F.concat(F.lit("REVISED "), "description"))
+        "month", F.lit("JANUARY")).withColumn("description", F.concat(F.lit("REVISED "), strip_ws("description")))
 
 
 def redelivered_events(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> T.StructType:

@@ -152,10 +152,6 @@ def _company_sql(x: str) -> str:
             f"WHEN contains({u}, 'ANTHONY') THEN 'ANTHONY''S EXCAVATING & GRADING' ELSE 'N/A' END)")
 
 
-def _na_null(x: str) -> str:
-    return f"(CASE WHEN {x} IS NULL OR {ws(x)} IN ('', 'N/A') THEN NULL ELSE {ws(x)} END)"
-
-
 def _year_sql(x: str) -> str:
     t = ws(f"CAST({x} AS VARCHAR)")
     v = f"(CASE WHEN regexp_full_match({t}, '[+-]?[0-9]+') THEN TRY_CAST({t} AS INTEGER) END)"
@@ -167,8 +163,7 @@ def _pipeline_ctes(max_dist: int = 2) -> list[str]:
     ctes = [
         f"""c0 AS (
   SELECT raw.* EXCLUDE (work_order_number, description, builder_name, project_name, month, year),
-    {_na_null('work_order_number')} AS work_order_number,
-    {_na_null('description')} AS description,
+    work_order_number, description,
     builder_name AS builder_name_raw,
     {base_b} AS b_base,
     project_name AS project_name_raw,
@@ -725,6 +720,22 @@ checks AS (
     return "WITH " + ",\n".join(_fixture_ctes()) + ",\n" + ctes + "\n" + body
 
 
+def _dashboard_sql(days: int) -> str:
+    win = f"work_date >= {AS_OF} - INTERVAL {days} DAY"
+    base = report_queries()
+    two = lambda c: f"printf('%.2f', coalesce({c}, 0.0))"
+    part = lambda name: base[name][base[name].index("\nSELECT") :]
+    return with_ctes(f"""
+SELECT k.*,
+  (SELECT string_agg(strftime(work_date, '%Y-%m-%d') || '|' || daily_orders || '|' || {two('daily_hours')} || '|' || {two('daily_value')}, ';'
+     ORDER BY work_date) FROM ({part(f'd8_daily_trend_{days}d')})) AS daily_trend,
+  (SELECT string_agg(coalesce(service_category, '-') || '|' || service_count || '|' || {two('total_hours')} || '|' || {two('total_value')}, ';'
+     ORDER BY service_category NULLS FIRST) FROM ({part(f'd9_service_breakdown_{days}d')})) AS service_breakdown,
+  (SELECT string_agg(builder_name || '|' || order_count || '|' || {two('total_value')}, ';' ORDER BY total_value DESC, builder_name)
+     FROM ({part(f'd10_top_builders_{days}d')})) AS top_builders
+FROM ({part(f'd11_kpis_{days}d')}) k""")
+
+
 def stored_queries() -> dict[str, str]:
     """Streams, incremental builds, layouts and contracts: what they must hold in the end."""
     out: dict[str, str] = {}
@@ -764,6 +775,8 @@ SELECT round(avg_score, 6) AS avg_score, round(share, 6) AS max_null_share, avg_
 FROM (SELECT avg(data_completeness_score) AS avg_score, greatest({shares}) AS share FROM stg)""")
     out["k7_schema_contract"] = _contract_sql("SELECT model, check_name, 'error' AS severity, failures, failures = 0 AS passed FROM checks")
     out["g3_missing_columns"] = _contract_sql("SELECT check_name, failures FROM checks WHERE model = 'raw_damaged' AND failures > 0")
+    for days in (30, 365):
+        out[f"l10_dashboard_{days}d"] = _dashboard_sql(days)
     profile = operator_queries()["d17_stage_profile"]
     out["d17_stage_sketches"] = f"SELECT * EXCLUDE (p50, p95, p99), true AS within_rank FROM ({profile})"
     return out

@@ -3,7 +3,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from groundwork.operators import incremental, quality
+from groundwork.operators import incremental, quality, staging
 from groundwork.plans import reports as R
 from groundwork.plans.pipeline import Pipeline
 
@@ -73,7 +73,8 @@ def test_quality_suite_and_gate(spark, small_dir):
     assert len(res) == sum(len(v) for v in quality.DEFAULT_SUITE.values())
     by = {(r.model, r.check_name): r for r in res}
     assert by[("stg_work_orders", "unique(work_order_id)")].passed
-    assert not by[("stg_work_orders", "not_null(work_order_number)")].passed  # every 97th number is missing
+    assert by[("stg_work_orders", "not_null(work_order_number)")].passed  # a marker is no NULL
+    assert not by[("stg_work_orders", "accepted_range(year)")].passed  # orders before 2000
     assert not by[("dim_builders", "unique(builder_key)")].passed  # several raw names share a corrected key
     try:
         quality.gate(quality.run_suite(tables, quality.DEFAULT_SUITE))
@@ -82,4 +83,18 @@ def test_quality_suite_and_gate(spark, small_dir):
         raised = True
     assert raised
     pc = {r.check_name: r.passed for r in quality.pipeline_checks(p.raw(), p.fact(), p.with_ml()).collect()}
-    assert pc["no_null_work_order_numbers"] and pc["data_completeness_above_80_percent"]
+    assert all(pc.values()) and len(pc) == 3
+
+
+def test_flags_see_nulls_only(spark):
+    rows = [(None, None), ("N/A", ""), ("1", "B")]
+    df = staging.flags(spark.createDataFrame(rows, "work_order_number string, builder_name string"))
+    assert [(r.missing_wo_number, r.missing_builder) for r in df.collect()] == [(True, True), (False, True), (False, False)]
+
+
+def test_page_is_cut_before_lines_are_summed(spark, small_dir):
+    p = Pipeline(spark, small_dir)
+    fsl, dbc, dp = p.service_lines(), p.dim_builders_conformed(), p.dim_projects()
+    whole = R.work_orders(fsl, dbc, dp, limit=1000, fct=p.fact()).collect()
+    assert whole == R.work_orders(fsl, dbc, dp, limit=1000).collect()
+    assert R.work_orders(fsl, dbc, dp, limit=5, offset=3, fct=p.fact()).collect() == whole[3:8]
