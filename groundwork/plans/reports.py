@@ -50,7 +50,7 @@ def work_orders(fsl: DataFrame, dbc: DataFrame, dp: DataFrame, start: _dt.date |
     """One row per work order with hours, value, categories and quality.
 
     The page is cut first, on the fact at order grain (`fct`; from the lines' own orders if it is not given); only the
-    lines of its at most 1000 orders are then aggregated.
+    lines of its at most 1000 orders are then aggregated (an order without lines has one row of NULLs among them).
     """
     grain = ["work_order_id", "work_order_number", "work_date", "builder_key", "project_key", "data_completeness_score"]
     orders = fct.select(*grain) if fct is not None else fsl.select(*grain).distinct()
@@ -65,16 +65,12 @@ def work_orders(fsl: DataFrame, dbc: DataFrame, dp: DataFrame, start: _dt.date |
     order = [F.col("work_date").desc_nulls_last(), F.col("work_order_id").asc()]
     top = page(j, order, limit, offset)
     lines = fsl.select("work_order_id", "total_service_hours", "estimated_service_value", "service_category")
-    own = lines.join(F.broadcast(top.select("work_order_id")), "work_order_id", "left_semi")  # a page: at most 1000 rows
-    sums = own.groupBy("work_order_id").agg(
+    own = lines.join(F.broadcast(top.drop("builder_key", "project_key")), "work_order_id")  # a page: at most 1000 rows
+    return own.groupBy("work_order_id", "work_order_number", "builder_name", "project_name", "work_date",
+                       F.round("data_completeness_score", 6).alias("data_quality_score")).agg(
         F.round(F.sum("total_service_hours"), 2).alias("total_hours"),
         F.round(F.sum("estimated_service_value"), 2).alias("total_value"),
         F.array_sort(F.collect_set("service_category")).alias("service_categories"),
-    )
-    return top.join(sums, "work_order_id", "left").select(
-        "work_order_id", "work_order_number", "builder_name", "project_name", "work_date", "total_hours", "total_value",
-        F.coalesce("service_categories", F.array().cast("array<string>")).alias("service_categories"),
-        F.round("data_completeness_score", 6).alias("data_quality_score"),
     ).orderBy(*order)
 
 
