@@ -81,7 +81,7 @@ def main() -> None:
         "fct_work_orders": spark.read.parquet(paths["fct"]),
         "raw_work_orders": spark.read.parquet(paths["raw"]),
     }
-    timed("l7_work_orders", lambda: run(R.work_orders(fsl, dbc, dp)))
+    timed("l7_work_orders", lambda: run(R.work_orders(fsl, dbc, dp, fct=spark.read.parquet(paths["fct"]))))
     timed("l8_builders", lambda: run(R.builders(fsl, dbc)))
     timed("l9_projects", lambda: run(R.projects(fsl, dp)))
     timed("l10_dashboard_30d", lambda: run(R.dashboard(fsl, dbc, days=30)))
