@@ -46,10 +46,16 @@ def parse_fields(text) -> Column:
     return F.filter(F.transform(lines, one), lambda x: x["num"].isNotNull())
 
 
-def field(parsed, k: int, default: str | None = NA) -> Column:
-    """Value of field k; the last occurrence wins; absent -> default."""
-    hits = F.filter(as_col(parsed), lambda x: x["num"] == k)
-    v = F.try_element_at(hits, F.lit(-1))["value"]
+def by_position(parsed) -> Column:
+    """Parsed fields as two arrays, numbers and values, the last line first: a field is then one search for its number."""
+    back = F.reverse(as_col(parsed))
+    return F.struct(back["num"].alias("nums"), back["value"].alias("texts"))
+
+
+def field(fields, k: int, default: str | None = NA) -> Column:
+    """Value of field k of `by_position`; the last occurrence wins; absent -> default."""
+    own = as_col(fields)
+    v = F.get(own["texts"], F.array_position(own["nums"], k).cast("int") - 1)
     return F.coalesce(v, F.lit(default)) if default is not None else v
 
 
@@ -64,8 +70,7 @@ def to_raw_row(df: DataFrame, text_col: str = "answer_text") -> DataFrame:
     Keeps `work_order_id` when the input has one, else derives the document id
     from the number and the extraction time.
     """
-    p = parse_fields(F.col(text_col))
-    parsed = df.withColumn("_f", p)
+    parsed = df.withColumn("_f", by_position(parse_fields(F.col(text_col))))
     f = lambda k: field(F.col("_f"), k)
     if "work_order_id" in df.columns:
         wid = F.col("work_order_id")
@@ -280,3 +285,8 @@ def apply_model(df: DataFrame, fn: Callable[[bytes, str], str | None],
             yield res
 
     return df.mapInPandas(run, out_schema)
+
+
+def text_document(content: bytes, name: str) -> str:
+    """The hook's function for documents that are the answer's text themselves (UTF-8)."""
+    return bytes(content).decode("utf-8")

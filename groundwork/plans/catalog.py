@@ -40,6 +40,21 @@ def l1_raw_build(spark, d):
     return _p(spark, d).raw_from_answers()
 
 
+@register("l1_from_documents")
+def l1_from_documents(spark, d):
+    """Raw rows of documents: the model hook reads them (J1), its answers are parsed (H6, B1)."""
+    p = _p(spark, d)
+    return p.raw_and_rejects(p.read_documents(FX.documents(spark, d), extract.text_document))[0]
+
+
+@register("l1_unread_documents")
+def l1_unread_documents(spark, d):
+    """The documents that the model hook could not read, with the kind of error."""
+    p = _p(spark, d)
+    rejects = p.raw_and_rejects(p.read_documents(FX.documents(spark, d), extract.text_document))[1]
+    return rejects.select("work_order_id", "file_url", F.substring_index("error", ":", 1).alias("error"))
+
+
 @register("l2_corrected")
 def l2_corrected(spark, d):
     return _p(spark, d).corrected()

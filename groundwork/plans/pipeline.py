@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -69,7 +70,17 @@ class Pipeline:
                           lambda: extract.to_raw_row(fixture.answer_texts(self.spark, self.sf_dir)))
 
     def raw(self) -> DataFrame:
-        return self._memo("raw", lambda: self._stored("raw_work_orders", fixture.raw_work_orders(self.spark, self.sf_dir)))
+        return self._memo("raw", lambda: self._stored("raw_work_orders", self.raw_from_answers()))
+
+    def read_documents(self, docs: DataFrame, model: Callable[[bytes, str], str | None]) -> DataFrame:
+        """The model's answer or its error for each document, stored once since both halves of L1 read it."""
+        return self._stored(f"answers_{uuid.uuid4().hex}", extract.apply_model(docs, model, "content", "file_url"))
+
+    @staticmethod
+    def raw_and_rejects(answered: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """L1: raw rows of the documents with an answer, and the documents without one and why."""
+        ok = F.col("answer_text").isNotNull()
+        return extract.to_raw_row(answered.where(ok)), answered.where(~ok).drop("answer_text")
 
     def dictionary(self) -> DataFrame:
         return self._memo("dictionary", lambda: fixture.builder_dictionary(self.spark, self.sf_dir))

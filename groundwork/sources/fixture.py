@@ -286,6 +286,13 @@ def answer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answer texts as documents (bytes); every 43rd is no UTF-8."""
+    a = answer_texts(spark, sf_dir)
+    content = F.when(order_key() % 43 == 0, F.unhex(F.lit("FF"))).otherwise(F.encode("answer_text", "UTF-8"))
+    return a.select("work_order_id", "file_url", "extracted_at", content.alias("content"))
+
+
 def category_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Service-block answer per work order (what a categorization hook returns).
 

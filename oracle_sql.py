@@ -98,8 +98,9 @@ def _fixture_ctes() -> list[str]:
     ctes.append("wide AS (SELECT l_orderkey, form_id, " + ",\n  ".join(cols) + " FROM rf GROUP BY l_orderkey, form_id)")
     ctes.append("ow AS (SELECT ofx.* REPLACE (coalesce(wide.form_id, ofx.work_order_id) AS work_order_id), wide.* EXCLUDE (form_id)\n"
                 "  FROM ofx LEFT JOIN wide ON ofx.o_orderkey = wide.l_orderkey)")
-    raw_cols = ["work_order_id", "work_order_number", "builder_name", "project_name", "month", "year",
-                "company_name", "description", "file_url", "extracted_at"]
+    # the raw table comes from parsed answers, whose values are stripped
+    raw_cols = ["work_order_id", "work_order_number", f"{ws('builder_name')} AS builder_name", "project_name", "month", "year",
+                "company_name", f"{ws('description')} AS description", "file_url", "extracted_at"]
     for s in range(1, 5):
         raw_cols.append(f"coalesce(cat{2 * s - 1}, 'N/A') AS service{s}")
     for i in range(1, 9):
@@ -378,7 +379,7 @@ def _hours_sql(x: str) -> str:
     return out
 
 
-def l1_sql() -> str:
+def l1_sql(where: str = "true") -> str:
     line_parse = f"""pl AS (
   SELECT a.work_order_id, a.file_url, a.extracted_at, t.pos,
     {ws('t.line')} AS s
@@ -409,7 +410,7 @@ def l1_sql() -> str:
                     f"{_float_sql('coalesce(f' + str(b + 2 + j) + ', ' + chr(39) + chr(39) + ')')} AS q{line}",
                     f"{_float_sql(_hours_sql('coalesce(f' + str(b + 3 + j) + ', ' + chr(39) + chr(39) + ')'))} AS h{line}"]
     return ("WITH " + ",\n".join(_fixture_ctes() + [_answer_text_cte(), line_parse, fields, piv]) +
-            "\nSELECT " + ", ".join(sel) + " FROM pv")
+            "\nSELECT " + ", ".join(sel) + f" FROM pv WHERE {where}")
 
 
 # --------------------------------------------------------------- queries --
@@ -417,6 +418,9 @@ def l1_sql() -> str:
 def report_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out["l1_raw_build"] = l1_sql()
+    out["l1_from_documents"] = l1_sql(f"{KEY} % 43 <> 0")
+    out["l1_unread_documents"] = with_ctes(
+        f"SELECT work_order_id, file_url, 'UnicodeDecodeError' AS error FROM raw WHERE {KEY} % 43 = 0")
     out["l2_corrected"] = with_ctes("SELECT * FROM corrected")
     out["l3_categorized"] = with_ctes("SELECT work_order_id, ml_categorization FROM cats")
     out["l4_staging"] = with_ctes("SELECT * FROM stg")

@@ -6,7 +6,7 @@ from groundwork.operators import extract
 
 def test_parse_fields(spark, sample_answer):
     df = spark.createDataFrame([(sample_answer,)], "t string")
-    p = df.select(extract.parse_fields(F.col("t")).alias("p"))
+    p = df.select(extract.by_position(extract.parse_fields(F.col("t"))).alias("p"))
     r = p.select(*[extract.field(F.col("p"), k).alias(f"f{k}") for k in (1, 2, 4, 8, 10)]).first()
     assert (r.f1, r.f2, r.f4, r.f8, r.f10) == ("77-031", "NORTHGATE LIVING", "OCTOBER", "SKID STEER", "X1")
 
@@ -14,10 +14,13 @@ def test_parse_fields(spark, sample_answer):
 def test_last_duplicate_wins_and_junk_lines(spark):
     text = "Header: x\n02. Builder Name: DRAFT\nno colon here\n02. Builder Name: REAL\n 5 . Year: 18 \nab.c: 1"
     df = spark.createDataFrame([(text,)], "t string")
-    r = df.select(extract.parse_fields(F.col("t")).alias("p")).select(
-        extract.field(F.col("p"), 2).alias("b"), extract.field(F.col("p"), 5).alias("y"),
+    r = df.select(extract.parse_fields(F.col("t")).alias("p")).withColumn("f", extract.by_position("p")).select(
+        extract.field(F.col("f"), 2).alias("b"), extract.field(F.col("f"), 5).alias("y"),
+        extract.field(F.col("f"), 9).alias("none"), extract.field(F.col("f"), 9, default=None).alias("null"),
         F.size("p").alias("n")).first()
-    assert r.b == "REAL" and r.y == "18" and r.n == 3
+    assert r.b == "REAL" and r.y == "18" and r.n == 3 and r.none == "N/A" and r.null is None
+    empty = spark.createDataFrame([(None,), ("",)], "t string").select(extract.by_position(extract.parse_fields(F.col("t"))).alias("f"))
+    assert [x.v for x in empty.select(extract.field(F.col("f"), 1).alias("v")).collect()] == ["N/A", "N/A"]
 
 
 def test_to_raw_row(spark, sample_answer):
