@@ -7,10 +7,11 @@ Potentials are smoothed counts over labelled pages (`labelled_pages`). Text bloc
 of at least one half are the main text.
 
 Defined results: null or empty html, and pages without content, give an empty text and 0 characters. Markup may be
-broken: unclosed and crossed tags are closed as browsers do in the common cases. Character references are decoded;
+broken: unclosed and crossed tags are closed as browsers do in the common cases; a head without an end tag ends where an
+element or text of the body begins, any other unclosed hidden element with its parent. Character references are decoded;
 white space inside a block becomes one space; blocks are trimmed and joined by one space in page order. Every row
 gives one row, repeated rows included; extra columns are not read; an empty table gives an empty result. Pages of any
-size are read whole; work is linear in the page.
+size are read whole; work is linear in the page but for end tags that close far up a deep nesting.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -32,6 +34,7 @@ from groundwork.llm.common import table
 # Element names of HTML, by what the parser does with them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template head title select option datalist button textarea svg math canvas object iframe audio video map".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SELF_CLOSING = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "tbody": ("table",), "thead": ("table",)}
@@ -64,6 +67,8 @@ class Tree(HTMLParser):
         self.pieces: list[str] = []
         self.linked = self.links = 0
         self.hidden: list[str] = []
+        self.inside: Counter[str] = Counter()  # elements opened since the text is hidden
+        self.open: Counter[str] = Counter()  # elements of the stack by tag
 
     def flush(self) -> None:
         if self.pieces:
@@ -75,12 +80,15 @@ class Tree(HTMLParser):
     def up_to(self, k: int) -> None:
         """Close all elements from place k of the stack on."""
         for node in self.stack[k:]:
+            self.open[self.tag[node]] -= 1
             self.links -= self.tag[node] == "a"
             if self.tag[node] not in INLINE:
                 self.flush()
         del self.stack[k:]
 
     def place_of(self, tags: tuple[str, ...], until: tuple[str, ...] = ()) -> int | None:
+        if not any(self.open[t] for t in tags):
+            return None
         for k in range(len(self.stack) - 1, 0, -1):
             if self.tag[self.stack[k]] in tags:
                 return k
@@ -89,9 +97,13 @@ class Tree(HTMLParser):
         return None
 
     def handle_starttag(self, tag, attrs):
+        if self.hidden == ["head"] and (tag == "body" or tag not in IN_HEAD and not self.inside.total()):
+            self.unhide()  # a head ends where an element of the body begins
         if self.hidden:
-            if tag not in VOID and tag == self.hidden[-1]:
+            if tag == self.hidden[-1]:
                 self.hidden.append(tag)
+            elif tag not in VOID:
+                self.inside[tag] += 1
             return
         if tag in HIDDEN:
             if tag not in VOID:
@@ -121,15 +133,22 @@ class Tree(HTMLParser):
         self.group.append(group_of(" ".join(names)))
         self.label.append(self.label[self.stack[-1]] if label is None else label)
         self.stack.append(len(self.tag) - 1)
+        self.open[tag] += 1
         self.links += tag == "a"
 
     def handle_endtag(self, tag):
         if self.hidden:
             if tag == self.hidden[-1]:
                 self.hidden.pop()
-            elif tag in ("head", "body", "html"):
-                self.hidden.clear()
-            return
+                if not self.hidden:
+                    self.unhide()
+                return
+            if self.inside[tag]:
+                self.inside[tag] -= 1
+                return
+            if tag not in ("head", "body", "html") and not self.open[tag]:
+                return
+            self.unhide()  # an unclosed hidden element ends with its parent
         if tag in ("p", "br") and self.place_of((tag,)) is None:
             self.flush()
             return
@@ -137,7 +156,13 @@ class Tree(HTMLParser):
         if k := self.place_of((tag,), until):
             self.up_to(k)
 
+    def unhide(self) -> None:
+        self.hidden.clear()
+        self.inside.clear()
+
     def handle_data(self, data):
+        if self.hidden == ["head"] and not self.inside.total() and not data.isspace():
+            self.unhide()
         if self.hidden:
             return
         if not self.pieces:
