@@ -69,7 +69,7 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Languages:
-    """Dense automata of all learned languages over one alphabet; 0 stands for a missing transition."""
+    """Dense automata of all learned languages, each over its own alphabet; 0 stands for a missing transition."""
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         self.names = [name for name, _ in samples]
@@ -80,17 +80,22 @@ class Languages:
         self.symbol[is_letter] = 0
         for i, c in enumerate(letters):
             self.symbol[ord(c)] = i + 2
-        self.width = len(letters) + 2
-        self.tables, self.bits = [], []
+        self.tables, self.own, self.widths, self.bits = [], [], [], []
         for _, text in samples:
             symbols, _ = self.encode([text])
-            nexts = suffix_automaton([s for s in symbols.tolist()])
-            dense = np.zeros((len(nexts), self.width), np.int32)
+            mine = np.union1d(symbols[symbols > 1], [])
+            own = np.zeros(len(letters) + 2, np.int64)  # the language's number of each symbol
+            own[1], own[mine.astype(np.int64)] = 1, np.arange(len(mine)) + 2
+            width = len(mine) + 2
+            nexts = suffix_automaton(own[symbols].tolist())
+            dense = np.zeros((len(nexts), width), np.int32)
             for i, moves in enumerate(nexts):
                 for c, j in moves.items():
                     if c:
-                        dense[i, c] = j * self.width
+                        dense[i, c] = j
             self.tables.append(dense.ravel())
+            self.own.append(own)
+            self.widths.append(width)
             self.bits.append(np.log2(max(2, len(symbols))))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,32 +110,69 @@ class Languages:
         owner = np.repeat(np.arange(len(lower)), sizes)
         return symbols[keep], np.bincount(owner[keep], minlength=len(lower))
 
-    def entropies(self, texts: list[str]) -> np.ndarray:
-        """Estimated cross entropy per symbol: a row per text, a column per language."""
+    def phrases(self, texts: list[str], stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases of each text (rows) in each language (columns), and the texts' lengths in symbols.
+
+        Stretches of a text are parsed abreast, each as if a phrase began with it. Then those whose predecessor ends
+        inside a phrase are parsed again from its state, as far as the result differs, until every stretch began with
+        the state that its predecessor ended in; the result does not depend on the cuts.
+        """
         symbols, sizes = self.encode(texts)
         starts = np.cumsum(sizes) - sizes
-        counts = -(-sizes // STRETCH)
+        counts = -(-sizes // stretch)
         owner = np.repeat(np.arange(len(texts)), counts)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        begin = starts[owner] + nth * STRETCH
-        length = np.minimum(STRETCH, sizes[owner] - nth * STRETCH)
-        order = np.argsort(-length, kind="stable")
-        begin, length, owner = begin[order], length[order], owner[order]
-        active = np.searchsorted(-length, -np.arange(STRETCH), side="left")  # stretches longer than t
-        out = np.zeros((len(texts), len(self.tables)))
+        begin = starts[owner] + nth * stretch
+        end = begin + np.minimum(stretch, sizes[owner] - nth * stretch)
+        order = np.argsort(begin - end, kind="stable")
+        active = np.searchsorted((begin - end)[order], -np.arange(stretch), side="left")  # stretches longer than t
+        text_of = np.repeat(np.arange(len(texts)), sizes)
+        later = np.flatnonzero(nth > 0)
+        out = np.zeros((len(texts), len(self.tables)), np.int64)
         for k, dense in enumerate(self.tables):
-            state, phrases = np.zeros(len(begin), np.int32), np.ones(len(begin), np.int32)
-            for t in range(STRETCH):
+            codes, width = self.own[k][symbols], self.widths[k]
+            states, opens = np.zeros(len(symbols), np.int32), np.zeros(len(symbols), bool)
+
+            def step(at, state):
+                c = codes[at]
+                moved = dense[state * width + c]
+                ended = moved == 0
+                state = np.where(ended, dense[c], moved).astype(np.int64)
+                return state, ended
+
+            # a phrase begins wherever the last one can't go on, and after a letter that the sample lacks
+            state = np.zeros(len(begin), np.int64)
+            for t in range(stretch):
                 n = active[t]
                 if not n:
                     break
-                c = symbols[begin[:n] + t].astype(np.int32)
-                moved = dense[state[:n] + c]
-                ended = moved == 0
-                phrases[:n] += ended
-                state[:n] = np.where(ended, dense[c], moved)
-            out[:, k] = np.bincount(owner, phrases, minlength=len(texts)) * self.bits[k]
-        return out / np.maximum(sizes, 1)[:, None]
+                at = begin[order[:n]] + t
+                opens[at] = state[:n] == 0
+                state[:n], ended = step(at, state[:n])
+                opens[at] |= ended
+                states[at] = state[:n]
+            assumed = np.zeros(len(begin), np.int64)
+            while len(later):
+                now = states[begin[later] - 1].astype(np.int64)
+                todo = now != assumed[later]
+                if not todo.any():
+                    break
+                assumed[later] = now
+                at, stop, state = begin[later[todo]], end[later[todo]], now[todo]
+                while len(at):
+                    fresh = state == 0
+                    state, ended = step(at, state)
+                    opens[at] = fresh | ended
+                    more = (states[at] != state) & (at + 1 < stop)
+                    states[at] = state
+                    at, stop, state = at[more] + 1, stop[more], state[more]
+            out[:, k] = np.bincount(text_of[opens], minlength=len(texts))
+        return out, sizes
+
+    def entropies(self, texts: list[str]) -> np.ndarray:
+        """Estimated cross entropy per symbol: a row per text, a column per language."""
+        counts, sizes = self.phrases(texts)
+        return counts * np.array(self.bits) / np.maximum(sizes, 1)[:, None]
 
 
 def languages(samples: tuple[tuple[str, str], ...]) -> Languages:
@@ -148,7 +190,9 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per_l
     """The bounded training sample: (language, text) in alphabetical order."""
     mine = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     mine = mine.where(F.col("id").isNotNull() & ~held_out("id") & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & F.col("text").rlike(r"\p{L}"))
-    mine = mine.select("lang", F.substring("text", 1, chars_per_doc).alias("text"), F.xxhash64("id").alias("h"), "id")
+    free = F.greatest(F.length("text") - chars_per_doc + 1, F.lit(1))
+    stretch = F.substr("text", (F.pmod(F.xxhash64("text"), free) + 1).cast("int"), F.lit(chars_per_doc))
+    mine = mine.select("lang", stretch.alias("text"), F.xxhash64("id").alias("h"), "id")
     by_hash = Window.partitionBy("lang").orderBy("h", "id", "text")
     rows = mine.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= docs_per_lang).select("lang", "n", "text").collect()
     texts: dict[str, list[str]] = {}

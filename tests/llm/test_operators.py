@@ -207,6 +207,23 @@ def test_html(spark):
     assert out[:4] == [(1, "", 0), (2, "", 0), (3, want, len(want)), (3, want, len(want))] and len(out) == 6
 
 
+def test_broken_html():
+    """A head without an end tag and unclosed hidden elements lose no text of the body, and stray tags cost no square time."""
+    import time
+
+    text = lambda html: " ".join(t for _, t, _ in html_extract.parse(html).blocks)
+    assert text("<html><head><title>No</title><meta charset=x><body><p>One.</p>") == "One."
+    assert text("<html><head><title>No</title><style>p{}</style><p>One.</p>") == "One."
+    assert text("<html><head><title>No</title>One.") == "One."
+    assert text("<head><noscript><p>No</p></noscript></head><p>One.") == "One."
+    assert text("<body><div><button>No</div><p>One.</p>") == "One."
+    assert text("<body><span><button><span>No</span> no</button>One</span> two") == "One two"
+    assert text("<body><div><select><option>No<option>No</select>One</div>") == "One"
+    began = time.process_time()
+    html_extract.parse("<div>" * 8000 + "</b></i>" * 8000)
+    assert time.process_time() - began < 5
+
+
 def test_sum_product_is_exact():
     """Marginals equal those from adding up all labellings."""
     import itertools
@@ -225,6 +242,32 @@ def test_sum_product_is_exact():
     assert np.allclose(model.marginals(tree), weights[:, 1] / weights.sum(1))
 
 
+def test_phrases():
+    """Phrase counts equal a plain parse by substring search, at any place of the cuts."""
+    import random
+
+    from groundwork.llm.language_id import Languages
+
+    def plain(sample: str, text: str) -> int:
+        n = i = 0
+        while i < len(text):
+            j = i + 1
+            while j < len(text) and text[i : j + 1] in sample:
+                j += 1
+            n, i = n + 1, j
+        return n
+
+    rng = random.Random(5)
+    word = lambda letters, n: "".join(rng.choices(letters, k=n))
+    samples = (("one", "aaaaaa"), ("two", word("ab", 300)), ("three", word("abc", 200)), ("four", "abc" * 50))
+    known = Languages(samples)
+    texts = ["", "a", "z", "aba", "abaaba", "abc" * 100, "a" * 70] + [word("abcz", rng.randint(1, 400)) for _ in range(40)] + [word("ab", 300) for _ in range(10)]
+    want = [[plain(sample, t) for _, sample in samples] for t in texts]
+    for stretch in (1, 3, 16, 256):
+        assert known.phrases(texts, stretch)[0].tolist() == want
+    assert want[3][0] == 3 and want[4][0] == 5
+
+
 def test_language(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     samples = learn(docs, "doc_id", "text", "lang", 200, 300)
@@ -353,3 +396,27 @@ def test_pipeline(spark, small_dir):
     assert max(Counter(t for t in kept.values() if t).values()) == 1
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, small_dir)
     assert packed.select("doc_id").distinct().count() == len(kept)
+
+
+def test_pipeline_stages_keep_clashing_columns(spark, small_dir):
+    import corpus_pipeline
+
+    clash = ["lang_pred", "score", "n_lines", "n_removed", "contaminated", "item_ids", "coverage", "kept"]
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").limit(40).select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in clash])
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, small_dir)
+        assert after.columns == docs.columns
+        rows = after.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in clash), name
+        empty = stage(spark, docs.where("false"), small_dir)
+        assert empty.columns == docs.columns and empty.count() == 0
+
+
+def test_pipeline_without_labels(spark, small_dir):
+    import corpus_pipeline
+
+    rows = [(1, "some words here", None), (2, None, None), (3, "12 ;", None), (4, "more", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for own in (docs, docs.drop("lang")):
+        assert [r.doc_id for r in corpus_pipeline.language(spark, own, small_dir).orderBy("doc_id").collect()] == [1, 4]
