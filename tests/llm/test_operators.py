@@ -19,7 +19,7 @@ from groundwork.llm.decontaminate import consistent, find_leaks
 from groundwork.llm.embedding_dedup import dedup_embeddings
 from groundwork.llm.html_extract import extract_pages
 from groundwork.llm.language_id import identify, learn
-from groundwork.llm.line_dedup import dedup_lines
+from groundwork.llm.line_dedup import dedup_lines, with_chunks
 from groundwork.llm.minhash_dedup import near_duplicates
 from groundwork.llm.packing import fullest, pack, plan_bins
 from groundwork.llm.substring_dedup import dedup_substrings, first_windows
@@ -154,10 +154,32 @@ def test_lines_all_repeated_runs(spark):
         gone = {p for at in range(len(own) - 1) if first.get(tuple(own[at : at + 2]), (i is not None, i or 0, at)) != (i is not None, i or 0, at) for p in (at, at + 1)}
         left = t if not gone else "\n".join(x for p, x in enumerate(own) if p not in gone)
         seen.setdefault(i, []).append((left or "", len(own) if t is not None else 0, len(gone)))
-    out = {}
-    for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect():
-        out.setdefault(r.doc_id, []).append((r.text or "", r.n_lines, r.n_removed))
-    assert {i: sorted(x) for i, x in out.items()} == {i: sorted(x) for i, x in seen.items()}
+    for reach in (2, 1, 4):
+        out = {}
+        for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), reach=reach).collect():
+            out.setdefault(r.doc_id, []).append((r.text or "", r.n_lines, r.n_removed))
+        assert {i: sorted(x) for i, x in out.items()} == {i: sorted(x) for i, x in seen.items()}
+
+
+def test_line_chunks_are_content_defined(spark):
+    rng = random.Random(5)
+    passage = [" ".join(words(4, rng)) for _ in range(60)]
+    own = [[" ".join(words(4, rng)) for _ in range(n)] for n in (7, 20, 1, 3)]
+    texts = [own[0] + passage + own[1], own[2] + passage + own[3], ["same"] * 30, ["one"], ["one", "two"], []]
+    rows = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "id long, text string")
+    for size, reach in ((2, 1), (2, 2), (3, 4)):
+        found = {r.id: r for r in with_chunks(rows, "text", size, reach).collect()}
+        for r in found.values():
+            starts = [c.line for c in r.x_chunks]
+            n = len(r.x_lines)
+            assert starts == sorted(set(starts)) and (starts[:1] == [0] if n >= size else not starts)
+            assert all(b - a >= size for a, b in zip(starts, [*starts[1:], n]))
+            if starts:
+                assert r.x_end == [b for a, b in zip(starts, [*starts[1:], n]) for _ in range(b - a)]
+        # the passage is cut alike in both documents but for the chunks at its ends
+        a, b = ({(c.line - len(before), c.h) for c in found[i].x_chunks} for i, before in ((0, own[0]), (1, own[2])))
+        inside = {x for x in a if 2 * reach + size <= x[0] < len(passage) - 4 * (reach + size)}
+        assert inside and inside <= b
 
 
 def test_substrings(docs, none):
