@@ -5,10 +5,16 @@ rounds of random signs and a fast Hadamard transform; the index and sign of the
 cross-polytope hash, two of them are a bucket of one table. Besides its own bucket a vector probes those with the
 second-best coordinate of either hash. A bucket's rows are compared exactly, in double precision.
 
+A vector is scaled by a power of two first, so that its squares neither overflow nor vanish and no digit is lost; it is
+one class with those that differ by such a factor only. Buckets are found from codes alone: a vector is fetched for those
+that hold another row.
+
 Buckets are dealt by key. One with more than `BLOCK` rows is cut into blocks, and each pair of blocks is a task's
 group of its own, so no bucket has to fit in one task and none is cut off. A pair that meets in several tables counts
 in the first only. A group emits sums of links and a spanning forest of its links, never its pairs.
 
+Labels are compared as they are, of whatever atomic type (NaN equals NaN, 0.0 equals -0.0).
+
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label,
 have no links and are their own component. Vectors of different lengths never link. Rows with the same id are vectors
 of their own; a null id is never a component's smallest. Extra columns are not read; an empty table gives an empty
@@ -21,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,10 +88,11 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 def usable(vector: list | None) -> np.ndarray | None:
+    """The vector with its largest component scaled to 0.5 to 1 by a power of two; None where it links with nothing."""
     if not vector or any(x is None for x in vector):
         return None
     v = np.asarray(vector, np.float64)
-    return v if np.isfinite(v).all() and v.any() else None
+    return np.ldexp(v, -np.frexp(np.abs(v).max())[1]) if np.isfinite(v).all() and v.any() else None
 
 
 def _classing(id_type):
@@ -100,26 +108,24 @@ def _classing(id_type):
     return run
 
 
-def _bucketing(tables: int):
+def _coding(tables: int):
+    """Adds the length of each vector and its codes, three for each table: the own bucket and two probed ones."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[int, CrossPolytope] = {}
         for batch in batches:
             raw = batch.column("vec").to_pylist()
-            sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-            for size in np.unique(sizes):
-                dim = int(size) // 8
-                own = np.flatnonzero(sizes == size)
+            dims = np.fromiter(map(len, raw), np.int64, len(raw)) // 8
+            codes = np.zeros((len(raw), tables * 3), np.int32)
+            for dim in np.unique(dims).tolist():
+                own = np.flatnonzero(dims == dim)
                 cp = hashes.setdefault(dim, CrossPolytope(dim, tables))
-                codes = cp.codes(np.frombuffer(b"".join(raw[i] for i in own), np.float64).reshape(len(own), dim))
-                at = np.repeat(own, tables * 3)
-                t = np.tile(np.repeat(np.arange(tables), 3), len(own))
-                role = np.tile(np.arange(3), len(own) * tables)
-                packed = [c.tobytes() for c in codes]
-                part = batch.take(pa.array(at))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("label"), part.column("n"), part.column("vec"), pa.array([packed[i] for i in np.repeat(np.arange(len(own)), tables * 3)], pa.binary()), pa.array(t, pa.int32()), pa.array(np.full(len(at), dim), pa.int32()), pa.array(codes.reshape(-1), pa.int32()), pa.array(role > 0)],
-                    names=["id", "label", "n", "vec", "codes", "t", "dim", "code", "probe"],
-                )
+                codes[own] = cp.codes(np.frombuffer(b"".join(raw[i] for i in own), np.float64).reshape(len(own), dim)).reshape(len(own), -1)
+            offsets = pa.array(np.arange(len(raw) + 1) * tables * 3, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(dims, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(codes.ravel()))],
+                names=[*batch.schema.names, "dim", "codes"],
+            )
 
     return run
 
@@ -172,7 +178,7 @@ def compare(group: pa.Table, threshold: float, tables: int) -> tuple[list[int],
     p, q = p[keep], q[keep]
     if not len(p):
         return [], [], []
-    codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), np.int32).reshape(len(ids), tables, 3)
+    codes = pc.list_flatten(group.column("codes")).to_numpy().reshape(len(ids), tables, 3)
     a, b = codes[p], codes[q]
     a_in_b = (a[:, :, :1] == b[:, :, 1:]).any(2)
     b_in_a = (b[:, :, :1] == a[:, :, 1:]).any(2)
@@ -204,18 +210,26 @@ def compare(group: pa.Table, threshold: float, tables: int) -> tuple[list[int],
 def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, tables: int = TABLES, block: int = BLOCK) -> DataFrame:
     """id, n_links, component_id and kept of every row; see the module's docstring for the defined cases."""
     kind = vectors.schema[id_col].dataType.simpleString()
-    mine = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vec_col).alias("vec"))
-    rows = staged(mine.mapInArrow(_classing(kind), "id long, label long, key binary, vec binary"), "vectors")
+    label = F.col(label_col)
+    if vectors.schema[label_col].dataType.simpleString() in ("float", "double"):
+        label = label + F.lit(0).cast(vectors.schema[label_col].dataType)
+    elif vectors.schema[label_col].dataType.simpleString() == "binary":
+        label = F.hex(label)
+    mine = vectors.select(F.col(id_col).cast("long").alias("id"), label.cast("string").alias("label"), F.col(vec_col).alias("vec"))
+    rows = staged(mine.mapInArrow(_classing(kind), "id long, label string, key binary, vec binary"), "vectors")
     linkable = rows.where("key IS NOT NULL AND id IS NOT NULL")
-    classes = staged(linkable.groupBy("label", "key").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("vec").alias("vec")), "classes")
-    schema = "id long, label long, n long, vec binary, codes binary, t int, dim int, code int, probe boolean"
-    buckets = staged(classes.select("id", "label", "n", "vec").mapInArrow(_bucketing(tables), schema), "buckets")
+    classes = linkable.groupBy("label", "key").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("vec").alias("vec"))
+    schema = "label string, key binary, id long, n long, vec binary, dim int, codes array<int>"
+    classes = staged(classes.mapInArrow(_coding(tables), schema), "classes")
+    coded = classes.select("label", "key", "id", "dim", F.posexplode("codes").alias("nth", "code"))
+    buckets = coded.select("label", "key", "id", "dim", F.floor(F.col("nth") / 3).cast("int").alias("t"), "code", (F.col("nth") % 3 > 0).alias("probe"))
     bucket = ["t", "dim", "label", "code"]
     sizes = buckets.groupBy(*bucket).agg(F.count("*").alias("size"), F.count_if(~F.col("probe")).alias("own"))
     sizes = sizes.where("size > 1 AND own > 0").select(*bucket, F.ceil(F.col("size") / block).cast("long").alias("blocks"))
     met = buckets.join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     cells = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cells = cells.withColumn("cell", F.least("block", "other") * F.lit(1 << 32) + F.greatest("block", "other")).drop("other", "blocks")
+    cells = cells.withColumn("cell", F.least("block", "other") * F.lit(1 << 32) + F.greatest("block", "other")).drop("other", "blocks", "id", "dim")
+    cells = cells.join(classes, ["label", "key"])
     dealt = cells.repartition(*bucket, "cell").sortWithinPartitions(*bucket, "cell")
     found = staged(dealt.mapInArrow(_comparing(threshold, tables), "a long, b long, n long"), "links")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))

@@ -401,6 +401,21 @@ def test_embeddings(spark):
     assert dedup_embeddings(vectors.where("false")).count() == 0
 
 
+def test_embeddings_of_any_scale_and_label(spark):
+    a, near, far = [1.0, 0.0, 0.3], [1.0, 0.01, 0.3], [1.0, 0.6, 0.3]
+    rows, want = [], {}
+    for k, factor in enumerate((1.0, 1e-170, 1e170, 1e308, 5e-324 * 2**40)):
+        rows += [(10 * k + i, [x * factor for x in v], f"scale {k}") for i, v in enumerate((a, near, far))]
+        want |= {10 * k: (1, 10 * k), 10 * k + 1: (1, 10 * k), 10 * k + 2: (0, 10 * k + 2)}
+    rows += [(100, a, "both"), (101, [x * 4 for x in a], "both"), (102, [x * 1e200 for x in near], "both"), (103, a, "Both")]
+    want |= {100: (2, 100), 101: (2, 100), 102: (2, 100), 103: (0, 103)}
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in dedup_embeddings(vectors).collect()} == want
+    labels = [(1, a, 1.2), (2, a, 1.5), (3, a, 1.2), (4, a, -0.0), (5, a, 0.0)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in dedup_embeddings(spark.createDataFrame(labels, "vec_id long, embedding array<double>, label double")).collect()}
+    assert got == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (1, 4), 5: (1, 4)}
+
+
 def test_pipeline(spark, small_dir):
     import corpus_pipeline
 
