@@ -42,10 +42,10 @@ from pyspark.sql import functions as F
 from groundwork.llm.common import pieces_of, staged, table
 
 BLOCK_DOCS = 1 << 16  # documents have 16-bit numbers in their block
-BLOCK_ENTRIES = 2_000_000  # postings a task holds before it ends the block
+BLOCK_ENTRIES = 1_000_000  # postings a task holds before it ends the block
 BITMAP_BYTES = BLOCK_DOCS // 8
-SLICE_BYTES = 4 << 20
-MEMO_ENTRIES = 100_000  # chunks of each of the memo's two generations
+SLICE_BYTES = 2 << 20
+MEMO_ENTRIES = 50_000  # chunks of each of the memo's two generations
 MEMO_CHARS = 64
 ROWS = 100_000
 GROUP_LINKS = 4096  # links of one group that are listed one by one
