@@ -1,8 +1,9 @@
 """The shared steps of the raw build: fields parsed once, forms without a grouping, numbers without exceptions."""
 import random
+import re
 
 from groundwork.functions import clean
-from groundwork.operators import extract
+from groundwork.operators import correct, extract
 from groundwork.sources import fixture
 from pyspark.sql import functions as F
 from tests.conftest import one_col
@@ -60,3 +61,50 @@ def test_forms_need_no_grouping(spark, tmp_path):
     blocks = {r.work_order_id: r.answer_text.split("\n\n") for r in answers.where("work_order_id is not null").collect()}
     assert {k: len(v) for k, v in blocks.items()} == {"WO-7": 8, "WO-7-2": 8, "WO-7-3": 3}
     assert blocks["WO-7-3"][0].endswith(f"Blocks/Lots/Units: Lot {117 % 20}")
+
+
+def test_raw_rows_equal_a_plain_loop(spark):
+    """The last line of a number wins, however the number is written; numbers no field has and other lines are left out."""
+    rng = random.Random(9)
+    heads = ["2", "02", "+2", " 002 ", "9", "09.", "9. D1", "0", "-2", "2.5", "22", "99999999999", "2x", "", "\xa02", "2\r. x"]
+    texts = ["\n".join(f"{rng.choice(heads)}{rng.choice([':', ': ', ' ', '::'])}{rng.choice(['a', ' b ', 'N/A', '', 'c:d'])}" for _ in range(rng.randint(0, 9))) for _ in range(400)]
+    df = spark.createDataFrame([(str(i), t, "f") for i, t in enumerate(texts)] + [("none", None, "f")], "work_order_id string, answer_text string, file_url string")
+    df = df.withColumn("extracted_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    got = {r.work_order_id: (r.builder_name, r.d1) for r in extract.to_raw_row(df).collect()}
+    assert got.pop("none") == ("N/A", "N/A")
+    want = [dict(plain_fields(t)) for t in texts]
+    assert [got[str(i)] for i in range(len(texts))] == [(w.get(2, "N/A"), w.get(9, "N/A")) for w in want]
+
+
+def largest_method(spark, df):
+    """Bytes of the largest method that Spark generates for a plan; the JVM compiles none of more than 8000."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.sparkSession._jvm.PythonSQLUtils.explainString(df.select("*")._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", plan)))
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, tmp_path, sample_answer):
+    tables = {
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp", (1, 1, None)),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string", (1, "a", "b", "c")),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                     "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp", (1, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "A", "F", None)),
+    }
+    for name, (schema, row) in tables.items():
+        spark.createDataFrame([row], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    answers = fixture.answer_texts(spark, str(tmp_path))
+    assert largest_method(spark, answers) < 8000
+    raw = extract.to_raw_row(answers)
+    assert largest_method(spark, raw) < 8000
+    raw.write.parquet(f"{tmp_path}/raw")
+    dictionary = spark.createDataFrame([("B", "C", 1.0)], "original_name string, corrected_name string, confidence_score double")
+    assert largest_method(spark, correct.correct(spark.read.parquet(f"{tmp_path}/raw"), dictionary)) < 8000
+    assert [r.d1 for r in raw.collect()] == ["N/A"]
+
+
+def test_labels_of_places():
+    assert [fixture._place_labels(i) for i in (0, 3, 7)] == [
+        ("08. Service1: ", "09. D1: ", "10. Q1: ", "11. H1: "), ("", "19. D4: ", "20. Q4: ", "21. H4: "), ("", "33. D8: ", "34. Q8: ", "35. H8: ")]
