@@ -1,8 +1,10 @@
 """Reference assertion pairs for the scalar cleanup functions."""
 import datetime as dt
+import random
 
 from conftest import one_col
 from groundwork.functions import clean
+from pyspark.sql import functions as F
 
 
 def test_year(spark):
@@ -71,3 +73,11 @@ def test_surrogate_key_matches_md5(spark):
     from groundwork.functions import keys
     got = one_col(spark, ["Builder 1", None], keys.surrogate)
     assert got == [hashlib.md5(b"Builder 1").hexdigest(), hashlib.md5(b"_dbt_utils_surrogate_key_null_").hexdigest()]
+
+
+def test_strip_each_equals_strip_ws(spark):
+    rng = random.Random(2)
+    ends = [*clean.WS_CHARS, "", "!", "~", "\x7f", "\x00", "a", "é", "​", "\U0001f600"]
+    texts = ["".join(rng.choices(ends, k=rng.randint(0, 3))) + rng.choice(["", "x", "x y", "é"]) + "".join(rng.choices(ends, k=rng.randint(0, 3))) for _ in range(1500)] + [None]
+    got = one_col(spark, texts, lambda c: F.get(clean.strip_each(F.array(c)), 0))
+    assert got == [t if t is None else t.strip(clean.WS_CHARS) for t in texts]
