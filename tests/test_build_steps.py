@@ -108,3 +108,37 @@ def test_generated_methods_are_small_enough_to_be_compiled(spark, tmp_path, samp
 def test_labels_of_places():
     assert [fixture._place_labels(i) for i in (0, 3, 7)] == [
         ("08. Service1: ", "09. D1: ", "10. Q1: ", "11. H1: "), ("", "19. D4: ", "20. Q4: ", "21. H4: "), ("", "33. D8: ", "34. Q8: ", "35. H8: ")]
+
+
+def test_fields_are_read_without_a_lambda_per_line(spark):
+    """Fields, quantities and hours of random answers equal a plain loop; no interpreted lambda runs over the lines."""
+    rng = random.Random(11)
+    said = ["3", " 4.5\xa0", "2 each", "7 /man", "1e2", "5d", "X1", "N/A", "", "man", " .5", "1:2", "�"]
+    texts = ["\n".join(f"{rng.choice(['', ' ', '0'])}{n}{rng.choice(['.', '. Q', ''])}:{rng.choice(said)}" for n in rng.choices(range(-1, 38), k=60)) for _ in range(200)]
+    df = spark.createDataFrame([(str(i), t, "f") for i, t in enumerate([*texts, ""])] + [("none", None, "f")], "work_order_id string, answer_text string, file_url string")
+    raw = extract.to_raw_row(df.withColumn("extracted_at", F.lit("2024-01-01 00:00:00").cast("timestamp")))
+    assert "lambda" not in plan_of(raw)
+    got = {r.work_order_id: r for r in raw.collect()}
+    assert got["none"][1:8] == got[str(len(texts))][1:8] == ("N/A", "N/A", "N/A", "N/A", None, "N/A", "N/A")
+
+    def number(text):
+        for unit in (" each", " /each", "/each", " man", " /man", "/man"):
+            text = text.replace(unit, "")
+        text = text.strip(clean.WS_CHARS)
+        return float(text) if re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", text) else None
+
+    for i, t in enumerate(texts):
+        fields, r = dict(plain_fields(t)), got[str(i)]
+        assert [r.project_name, r.service4, r.d8] == [fields.get(k, "N/A") for k in (3, 29, 33)]
+        for line in range(1, 9):
+            base = 9 + 7 * ((line - 1) // 2) + 3 * ((line - 1) % 2)
+            q, h = (fields.get(base + j, "N/A") for j in (1, 2))
+            assert (r[f"q{line}"], r[f"h{line}"]) == (number(q) if q[-1:] not in ("h", "n") else None, number(h))
+
+
+def test_fields_of_no_lines():
+    import pyarrow as pa
+    got = extract._fields_of_lines(pa.array([], pa.list_(pa.string())))
+    assert len(got) == 0
+    one = extract._fields_of_lines(pa.array([None, []], pa.list_(pa.string()))).to_pylist()
+    assert one == [{"texts": ["N/A"] * 35, "quantities": [None] * 8, "hours": [None] * 8}] * 2
